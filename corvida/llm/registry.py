@@ -5,6 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES: tuple[str, ...] = (
+    "p1_cut_texts",
     "p5_lookalikes",
     "p8_garbled",
 )
