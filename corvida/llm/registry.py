@@ -9,6 +9,7 @@ MODULES: tuple[str, ...] = (
     "p3_consensus",
     "p4_languages",
     "p5_lookalikes",
+    "p6_leaks",
     "p8_garbled",
 )
 
