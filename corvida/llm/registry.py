@@ -10,6 +10,7 @@ MODULES: tuple[str, ...] = (
     "p4_languages",
     "p5_lookalikes",
     "p6_leaks",
+    "p7_mixing",
     "p8_garbled",
 )
 
