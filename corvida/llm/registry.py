@@ -6,6 +6,7 @@ from importlib import import_module
 
 MODULES: tuple[str, ...] = (
     "p1_cut_texts",
+    "p2_pairs",
     "p3_consensus",
     "p4_languages",
     "p5_lookalikes",
