@@ -106,7 +106,7 @@ def repetition(col: Column, n: int = 2) -> Column:
 
     def share(found: Column) -> Column:
         size = F.size(found)
-        runs = F.array_sort(F.transform(F.sequence(F.lit(1), size - (n - 1)), lambda i: F.concat_ws(" ", F.slice(found, i, n))))
+        runs = F.array_sort(F.transform(F.sequence(F.lit(1), size - (n - 1)), lambda i: F.concat_ws(" ", *(found[i + (k - 1)] for k in range(n)))))
         best = F.aggregate(runs, start, count, lambda acc: acc["best"])
         return F.when(size < 2 * n, F.lit(0.0)).otherwise(best * F.lit(float(n)) / size)
 
