@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Letters with Vietnamese marks; the second class leaves out those that other languages use as well.
 VI_MARKED = "[àáảãạăằắẳẵặâầấẩẫậèéẻẽẹêềếểễệìíỉĩịòóỏõọôồốổỗộơờớởỡợùúủũụưừứửữựỳýỷỹỵđ]"
@@ -24,7 +25,7 @@ TONED = {
 WORD_CLASS = r"\p{L}\p{N}_\x{00C0}-\x{1EF9}"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfc(values: pd.Series) -> pd.Series:
     return values.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
 

@@ -31,18 +31,14 @@ _CLS = r"\p{L}\p{N}_\x{00C0}-\x{1EF9}"
 
 
 def _stands(entry: str) -> str:
-    """Some place of the entry has no word character before or behind it; patterns are constant, as others are slow."""
-    parts = f"string_split(t, lower({entry}))"
-    return (
-        f"len(list_filter(range(1, len({parts})), lambda i: not regexp_matches(right({parts}[i], 1), '[{_CLS}]') and not regexp_matches(left({parts}[i + 1], 1), '[{_CLS}]'))) > 0"
-    )
+    return f"regexp_matches(t, '(^|[^{_CLS}])' || regexp_escape(lower({entry})) || '($|[^{_CLS}])')"
 
 
 _CORPUS = "(select doc_id, source, lang, lower(nfc_normalize(text)) t from documents)"
 def _hits(column: str) -> str:
     """Pairs of text and entry: plain containment first, as a pattern for each pair is slow."""
-    with_entry = f"select c.doc_id, c.source, c.t, l.* from {_CORPUS} c join {LEXICON_SQL} on contains(c.t, lower(l.{column}))"
-    return f"(with near as materialized ({with_entry}) select * exclude (t) from near where {_stands(column)})"
+    with_entry = f"select c.doc_id, c.source, c.t, l.* from texts c join {LEXICON_SQL} on contains(c.t, lower(l.{column}))"
+    return f"(with texts as materialized {_CORPUS}, near as materialized ({with_entry}) select * exclude (t) from near where {_stands(column)})"
 
 
 _HITS = _hits("word")
