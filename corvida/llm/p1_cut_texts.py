@@ -14,6 +14,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from corvida.llm.prefix_cut import LEAST_GAP, cut_gap
 from corvida.session import table
@@ -45,7 +46,7 @@ def copies_by_recording(values: DataFrame) -> DataFrame:
     return longest.groupBy("recording").agg(F.sort_array(F.collect_list("text")).alias("copies"))
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(IntegerType())
 def letters_missing(texts: pd.Series, copies: pd.Series) -> pd.Series:
     return pd.Series([cut_gap(t, list(c)) for t, c in zip(texts, copies)], dtype="int32")
 
