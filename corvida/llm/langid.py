@@ -113,7 +113,7 @@ class Identifier:
     def _strange(self, word: str) -> bool:
         """Is another language clearly nearer than the expected one?"""
         cost = self.cost(word)
-        return min(cost) < min((cost[i] for i in self.own), default=0.0) - 0.5
+        return bool(cost) and min(cost) < min((cost[i] for i in self.own), default=0.0) - 0.5
 
     def stretches(self, text: str | None) -> list[Stretch]:
         """The stretches of one language each, in order; short ones of another language belong to their neighbours."""
@@ -141,7 +141,7 @@ class Identifier:
                 strange += 1
         if not tokens:
             return []
-        if not kinds and strange < 3 and self.own and strange * 2 < max(3, len(tokens)):
+        if not kinds and strange < 3 and (self.own or not self.names) and strange * 2 < max(3, len(tokens)):
             sentences = sum(t[4] for t in tokens)
             return [Stretch(tokens[0][2], tokens[-1][3], self.expected, round(1 - strange / (len(tokens) + 1), 4), len(tokens), sentences)]
         return self._divide(tokens)
