@@ -67,3 +67,20 @@ def test_fill_overwrites_with_null_where_matched(spark):
     left = spark.createDataFrame([(1, "a"), (2, "b")], "id long, x string")
     right = spark.createDataFrame([(1, None)], "id long, x string")
     assert {r["id"]: r["x"] for r in tables.fill(left, right, "id", ["x"]).collect()} == {1: None, 2: "b"}
+
+
+def test_new_columns_hold_only_their_voter():
+    from corvida.operators.rover import network
+
+    columns = network([(["a", "b"], 1.0), (["a", "x", "b"], 0.5)])
+    assert [[v[1] for v in c] for c in columns] == [["a", "a"], ["x"], ["b", "b"]]
+    assert network([]) == [] and network([([], 1.0), (["a"], 0.5)]) == [[(1, "a", 0.5)]]
+
+
+def test_votes_by_weight_then_count(spark):
+    from corvida.operators import rover
+
+    rows = [([(["một", "hai"], 0.9), (["một", "hay"], 0.5), (["một", "hay"], 0.5)],), ([(["a"], 0.4), ([], 0.4)],)]
+    schema = "voters array<struct<words:array<string>,weight:double>>"
+    got = [r[0] for r in spark.createDataFrame(rows, schema).select(rover.voted_text(rover.aligned("voters"))).collect()]
+    assert got == ["một hay", "a"]
