@@ -219,7 +219,7 @@ def numeric_answer(spark, sf_dir):
     """The one number of an answer, or n of `n/100`; null when it is ambiguous or out of 0 to 100."""
     rows = spark.createDataFrame([(a,) for a in NUMBERS], "answer string")
     found = F.regexp_extract_all("answer", F.lit(r"(\d+)"), F.lit(1))
-    number = F.when(F.size(found) == 1, found[0]).when(F.col("answer").rlike(r"^\d*/100$"), F.substring_index("answer", "/", 1)).cast("bigint")
+    number = F.when(F.size(found) == 1, F.get(found, F.lit(0))).when(F.col("answer").rlike(r"^\d*/100$"), F.substring_index("answer", "/", 1)).cast("bigint")
     return rows.select("answer", F.when(number.between(0, 100), number).alias("number"))
 
 
