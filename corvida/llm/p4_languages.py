@@ -85,7 +85,7 @@ def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    right = (F.size("langs") == 1) & (F.col("langs")[0] == F.col("label"))
+    right = (F.size("langs") == 1) & (F.get("langs", F.lit(0)) == F.col("label"))
     cases = languages(spark, sf_dir).where(~F.coalesce(right, F.lit(False)))
     return cases.select("table_name", "record_key", F.explode("langs").alias("lang")).distinct()
 
