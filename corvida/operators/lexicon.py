@@ -14,6 +14,8 @@ from corvida.functions.text import WORD_CLASS, lowered
 _WORD = f"([{WORD_CLASS}]+)"
 #: Joins the words of an n-gram; no text holds it.
 _GLUE = "\x01"
+#: Entries up to which a lexicon goes to every task.
+BROADCAST_ENTRIES = 100_000
 
 
 def boundary_words(col: Column) -> Column:
@@ -42,7 +44,8 @@ def matches(corpus: DataFrame, lexicon: DataFrame, word: str, text: str = "text"
     its own row before they are spread out.
     """
     entries = prepared(lexicon, word)
-    lengths = sorted(r[0] for r in entries.select(F.size("entry_words")).distinct().collect())  # as many as entries have words
+    sizes = {r[0]: r[1] for r in entries.groupBy(F.size("entry_words")).count().collect()}  # as many rows as entries have words
+    lengths = sorted(sizes)
     lowered_corpus = corpus.withColumn("matched_text", lowered(F.col(text)))
     none = F.expr("cast(array() as array<string>)")
 
@@ -55,7 +58,10 @@ def matches(corpus: DataFrame, lexicon: DataFrame, word: str, text: str = "text"
     # the array of one array binds the words, so that they are found once and not once an n-gram
     tokens = F.transform(F.array(boundary_words(F.col("matched_text"))), lambda ws: F.array_distinct(F.concat(none, *(of_length(ws, n) for n in lengths))))[0]
     grams = lowered_corpus.withColumn("gram", F.explode(tokens))
-    return grams.join(entries.drop("entry_words"), "gram").where(stands_in(F.col("matched_text"), F.col("entry"))).drop("gram", "matched_text")
+    entries = entries.drop("entry_words")
+    if sum(sizes.values()) <= BROADCAST_ENTRIES:  # counted, so that texts are not shuffled; a larger lexicon is joined by n-gram
+        entries = F.broadcast(entries)
+    return grams.join(entries, "gram").where(stands_in(F.col("matched_text"), F.col("entry"))).drop("gram", "matched_text")
 
 
 def occurring(corpus: DataFrame, lexicon: DataFrame, word: str) -> DataFrame:
