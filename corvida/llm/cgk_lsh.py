@@ -9,6 +9,7 @@ Windows that more than STOCK passages share letter by letter are stock wording a
 
 A candidate is verified exactly: its words are aligned with the passage's by dynamic programming, and the longest run
 of passage words counts. A changed letter keeps a word; a stray word costs little, a missing or replaced one much.
+Before that only collisions are left out that the alignment cannot accept: a bound on its score that allows for shifts.
 """
 
 from __future__ import annotations
@@ -30,10 +31,15 @@ STRIDE = 2
 STOCK = 3
 LEAST_WORDS = 12
 END, DROP, GAP = 63, 255, 0
-#: Letters around a collision that are compared at once, and the equal letters that some STRETCH of them must have.
-BEFORE, AFTER, STRETCH, LEAST_EQUAL = 28, 44, 30, 26
+HASH, HEAD = 0x9E3779B97F4A7C15, 8
+#: Text words of a block, blocks that are looked through at once, and places for words in a block: words that share a
+#: place only let more collisions through.
+BLOCK, CHUNK, PLACES = 8, 1024, 4096
 #: Words on either side of a collision that are aligned.
 AROUND = 2 * LEAST_WORDS
+#: Prices in the alignment, and the words that it may be off the diagonal (BLOCK at most).
+LOST, STRAY, NEAR, BAND = 5.5, 0.7, 1.0, 8
+KEPT_GAIN, NEAR_GAIN, LOST_GAIN = 2, int(2 * NEAR), int(2 * LOST)
 
 
 def _letter_codes() -> np.ndarray:
@@ -78,6 +84,12 @@ class Letters:
     def word(self, i: int) -> bytes:
         return self.letters[self.starts[i] : self.ends[i]].tobytes()
 
+    def hashes(self, words: np.ndarray) -> np.ndarray:
+        """A number for each of the words, the same for equal words: polynomials modulo 2**64, divided by the power at the start."""
+        powers, inverse = (np.cumprod(np.full(len(self.letters), r, dtype=np.uint64)) for r in (HASH, pow(HASH, -1, 1 << 64)))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(powers * (self.letters.astype(np.uint64) + np.uint64(1)))])
+        return (sums[self.ends[words]] - sums[self.starts[words]]) * inverse[self.starts[words]]
+
 
 def letters_of(texts: list[str]) -> Letters:
     points = np.frombuffer("\0".join(texts).encode("utf-32-le", "replace"), dtype=np.uint32)
@@ -89,7 +101,7 @@ def letters_of(texts: list[str]) -> Letters:
     letter = codes > 0
     first = letter & (np.concatenate([[True], ~letter[:-1]]) | cjk)
     # the place of each letter in the row of letters, with a pad of END after every text
-    pad = STEPS + AFTER
+    pad = STEPS + WINDOW
     text_of = np.cumsum(separator)
     place = np.cumsum(letter) - letter + text_of * pad
     row = np.full(int(letter.sum()) + pad * (len(texts) + 1), END, dtype=np.uint8)
@@ -144,9 +156,14 @@ class PassageIndex:
         common = max(3, len(passages) // 150)
         self.rare = [max(w) <= 10 or frequency[w] <= common for w in self.words]
         self.first = np.searchsorted(found.owner, np.arange(len(passages) + 1))
+        rare = dict(zip(self.words, self.rare))
+        self.near = NearWords(sorted(rare), rare)
+        # the words' places and owners, with room for the surroundings of the first and the last
+        self.places = np.pad(np.array([self.near.number[w] % PLACES for w in self.words], dtype=np.int32), AROUND)
+        self.owners = np.pad(found.owner.astype(np.int32), AROUND, constant_values=-1)
 
     def collisions(self, texts: Letters) -> tuple[np.ndarray, np.ndarray]:
-        """Word numbers (in the texts, in the passages) of colliding windows whose surroundings agree in enough letters."""
+        """Word numbers (in the texts, in the passages) of colliding windows around which there may be a leak."""
         if not len(texts.starts) or not len(self.windows):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         number = np.arange(len(texts.owner))
@@ -162,21 +179,55 @@ class PassageIndex:
             rights.append(order[np.repeat(low, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)])
         count = len(self.words)
         pairs = np.stack(np.divmod(np.unique(np.concatenate(lefts) * count + np.concatenate(rights)), count))
+        return self.plausible(texts, pairs[0], pairs[1])
+
+    def plausible(self, texts: Letters, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The collisions, in order of left, around which align may accept a run.
+
+        A passage word gains at most what align gives it for the best text word within BAND (in fact within blocks of
+        BLOCK, which hold the band), in any order and without strays. Where these gains have no positive run of
+        LEAST_WORDS words, align has none.
+        """
+        used = np.zeros(len(texts.starts) + 1, dtype=np.int64)
+        np.add.at(used, np.maximum(left - AROUND - 2 * BLOCK, 0), 1)
+        np.add.at(used, np.minimum(left + AROUND + 2 * BLOCK, len(texts.starts)), -1)
+        used = np.flatnonzero(np.cumsum(used[:-1]))
+        distinct, which = np.unique(texts.hashes(used), return_index=True, return_inverse=True)[1:]
+        near = [self.near.of(texts.word(w)) for w in used[distinct].tolist()]
+        counts = np.array([len(x) for x in near], dtype=np.int64)
+        ids, gains = (np.concatenate([np.array(x, dtype=np.int64).reshape(-1, 2)[:, k] for x in near] or [np.zeros(0, np.int64)]) for k in range(2))
+        order = np.lexsort((gains, np.repeat(np.arange(len(near)), counts)))  # of equal places the best comes last
+        places, gains = ids[order] % PLACES, gains[order].astype(np.int8)
+        begin = np.cumsum(counts) - counts
         kept = []
-        for part in np.array_split(pairs, max(1, pairs.shape[1] // 200_000 + 1), axis=1):
-            p, q = texts.starts[part[0]], self.found.starts[part[1]]
-            run, best, ring = np.zeros(len(p), np.int16), np.zeros(len(p), np.int16), []
-            for k in range(-BEFORE, AFTER):
-                a = texts.letters[np.maximum(p + k, 0)]
-                same = (a == self.found.letters[np.maximum(q + k, 0)]) & (a != END)
-                ring.append(same)
-                run += same
-                if len(ring) > STRETCH:
-                    run -= ring.pop(0)
-                np.maximum(best, run, out=best)
-            kept.append(part[:, best >= LEAST_EQUAL])
-        left, right = np.concatenate(kept, axis=1)
-        return left, right
+        side = AROUND // BLOCK + 2
+        edges = np.searchsorted(left, np.arange(0, len(texts.starts) + CHUNK * BLOCK, CHUNK * BLOCK))
+        for n, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
+            if a == b:
+                continue
+            low = (n * CHUNK - side) * BLOCK
+            own = slice(*np.searchsorted(used, [low, ((n + 1) * CHUNK + side) * BLOCK]))
+            size = counts[which[own]]
+            entry = np.repeat(begin[which[own]] - np.cumsum(size) + size, size) + np.arange(size.sum())
+            cell = np.repeat((used[own] - low) // BLOCK, size) * PLACES + places[entry]
+            gain = np.full((CHUNK + 2 * side) * PLACES, -LOST_GAIN, dtype=np.int8)
+            for value in (-NEAR_GAIN, KEPT_GAIN):
+                gain[cell[gains[entry] == value]] = value
+            gain = gain.reshape(-1, PLACES)
+            gain[1:-1] = np.maximum(np.maximum(gain[:-2], gain[1:-1]), gain[2:])
+            for part in np.array_split(np.arange(a, b), (b - a) // 50_000 + 1):
+                i, j = left[part] - AROUND - low, right[part]
+                owner = self.owners[j + AROUND]
+                score, length, best = np.zeros(len(part), np.int16), np.zeros(len(part), np.int16), np.zeros(len(part), np.int16)
+                for k in range(2 * AROUND):
+                    score += np.where(self.owners[j + k] == owner, gain[(i + k) // BLOCK, self.places[j + k]], -LOST_GAIN)
+                    length += 1
+                    ended = score <= 0
+                    score[ended] = length[ended] = 0
+                    np.maximum(best, length, out=best)
+                kept.append(part[best >= LEAST_WORDS])
+        chosen = np.concatenate(kept) if kept else np.zeros(0, np.int64)
+        return left[chosen], right[chosen]
 
     def leaks(self, texts: list[str]) -> list[tuple[int, int, int, int]]:
         """(text, passage, first passage word, words) of the leaks in the texts: the first run found of each pair."""
@@ -198,27 +249,12 @@ class PassageIndex:
                 if w not in words:
                     words[w] = letters.word(w)
             around, own = [words[w] for w in range(a, b)], self.words[low:high]
-            if not may_hold(own, around):
-                continue
             run = align(own, self.rare[low:high], around, (i - a) - (j - low))
             if run and run[1] >= LEAST_WORDS:
                 found[text, passage] = (text, passage, int(low - self.first[passage]) + run[0], run[1])
         return list(found.values())
 
 
-def may_hold(passage: list[bytes], words: list[bytes]) -> bool:
-    """A bound for align: some LEAST_WORDS passage words in a row of which all but two are in the words."""
-    held = set(words)
-    missing, gap = 0, [w not in held for w in passage]
-    for i, lost in enumerate(gap):
-        missing += lost
-        if i >= LEAST_WORDS:
-            missing -= gap[i - LEAST_WORDS]
-        if i >= LEAST_WORDS - 1 and missing <= 2:
-            return True
-    return False
-
-
 @lru_cache(maxsize=500_000)
 def similar(a: bytes, b: bytes) -> bool:
     """Equal up to small changes of letters: one edit, or two in a long word, or two letters swapped."""
@@ -242,7 +278,53 @@ def similar(a: bytes, b: bytes) -> bool:
     return row[-1] <= 1 + (min(n, m) >= 8)
 
 
-LOST, STRAY, NEAR, BAND = 5.5, 0.7, 1.0, 8
+class NearWords:
+    """The words of a vocabulary that align may take for a given word: equal, or similar with the first or last letter."""
+
+    def __init__(self, words: list[bytes], rare: dict[bytes, bool]):
+        self.all, self.rare = words, rare
+        self.number = {w: i for i, w in enumerate(words)}
+        self.letters = np.zeros((len(words), 64), dtype=np.int16)
+        for i, w in enumerate(words):
+            np.add.at(self.letters[i], np.frombuffer(w, np.uint8), 1)
+        self.heads = np.frombuffer(b"".join(w[:HEAD].ljust(HEAD, b"\0") for w in words), np.uint8).reshape(-1, HEAD)
+        self.lengths = np.array([len(w) for w in words], dtype=np.int64)
+        ends = np.array([(w[0], w[-1]) for w in words], dtype=np.uint8).reshape(-1, 2)
+        self.ends = ends
+        self.buckets: dict[tuple[int, int, int], np.ndarray] = {}
+        self.known: dict[bytes, list[tuple[int, int]]] = {}
+
+    def of(self, word: bytes) -> list[tuple[int, int]]:
+        """(number, gain) of the words, with the gain that align has for them, doubled to be whole."""
+        found = self.known.get(word)
+        if found is None:
+            if len(self.known) >= 300_000:
+                self.known.clear()
+            found = self.known[word] = self._of(word)
+        return found
+
+    def _of(self, word: bytes) -> list[tuple[int, int]]:
+        key = word[0], word[-1], min(len(word), 40)
+        if key not in self.buckets:
+            ends = (self.ends[:, 0] == key[0]) | (self.ends[:, 1] == key[1])
+            low, high = key[2] - 2, len(word) + 2 if key[2] < 40 else 1 << 40
+            self.buckets[key] = np.flatnonzero(ends & (self.lengths >= low) & (self.lengths <= high))
+        some = self.buckets[key]
+        # an edit changes the counts of two letters at most; similar words are one edit or swap apart, long ones two edits,
+        # and of equal length differ in two places at most
+        own = np.bincount(np.frombuffer(word, np.uint8), minlength=64).astype(np.int16)
+        edits = np.where((self.lengths[some] >= 7) & (len(word) >= 7), 2, 1)
+        some = some[np.abs(self.letters[some] - own).sum(axis=1) <= 2 * edits]
+        different = (self.heads[some] != np.frombuffer(word[:HEAD].ljust(HEAD, b"\0"), np.uint8)).sum(axis=1)
+        some = some[(self.lengths[some] != len(word)) | (different <= 2)]
+        near = [i for i in some.tolist() if similar(self.all[i], word)]
+        return [(i, KEPT_GAIN if self.all[i] == word or not small(self.all[i], self.rare[self.all[i]], word) else -NEAR_GAIN) for i in near]
+
+
+
+def small(word: bytes, rare: bool, other: bytes) -> bool:
+    """Whether a little change from word to other may be chance."""
+    return (rare or len(word) < 5) and len(other) < 6
 
 
 def align(passage: list[bytes], rare: list[bool], words: list[bytes], shift: int) -> tuple[int, int] | None:
@@ -257,7 +339,7 @@ def align(passage: list[bytes], rare: list[bool], words: list[bytes], shift: int
     score, begin = [0.0] * (m + 1), [0] * (m + 1)
     best, run = 0.0, None
     for i in range(1, n + 1):
-        word, short = passage[i - 1], rare[i - 1] or len(passage[i - 1]) < 5
+        word, unsure = passage[i - 1], rare[i - 1]
         low, high = max(1, i + shift - BAND), min(m, i + shift + BAND)
         if low > high:
             continue
@@ -268,7 +350,7 @@ def align(passage: list[bytes], rare: list[bool], words: list[bytes], shift: int
             if word == other:
                 gain = 1.0
             elif above[j - 1] > 0 and (word[0] == other[0] or word[-1] == other[-1]) and similar(word, other):
-                gain = -NEAR if short and len(other) < 6 else 1.0
+                gain = -NEAR if small(word, unsure, other) else 1.0
             else:
                 gain = -LOST
             s = above[j - 1] + gain

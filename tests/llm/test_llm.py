@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -153,6 +154,52 @@ def test_leaks_against_brute_force(spark):
     assert cgk_lsh.PassageIndex([]).leaks(["x"]) == []
 
 
+def _passages(rng, n, words, longest):
+    vocabulary = ["".join(rng.choices("abcdeghiklmnoprstuvxy", k=rng.randint(3, longest))) for _ in range(4000)]
+    return vocabulary, [" ".join(rng.choices(vocabulary, k=words)) for _ in range(n)]
+
+
+@pytest.mark.parametrize(("kind", "least"), [("inserted letters", 95), ("stray words", 60)])
+def test_shifts_inside_a_leak_do_not_hide_it(kind, least):
+    rng = random.Random(61)
+    vocabulary, passages = _passages(rng, 100, 40, 5)
+    index, texts = cgk_lsh.PassageIndex(passages), []
+    for passage in passages:
+        piece = passage.split()[10:24]
+        for n in (4, 9):
+            piece[n] = piece[n] + " stray" if kind == "stray words" else piece[n][:2] + "z" + piece[n][2:]
+        texts.append(" ".join(rng.choices(vocabulary, k=20) + piece + rng.choices(vocabulary, k=20)))
+    found = {(t, p) for t, p, _, _ in index.leaks(texts)}
+    assert len(found) >= least and not found - {(n, n) for n in range(100)}
+
+
+def test_the_bound_keeps_all_that_the_alignment_accepts():
+    rng = random.Random(62)
+    vocabulary, passages = _passages(rng, 20, 40, 8)
+    index = cgk_lsh.PassageIndex(passages)
+    texts = []
+    for passage in passages:
+        words = rng.choices(vocabulary, k=20) + passage.split()[5:30]
+        for _ in range(rng.randint(1, 7)):
+            n = rng.randrange(20, len(words))
+            words[n : n + 1] = rng.choice([[words[n], "stray"], [], ["other"], [words[n][1:]], [words[n][:-1] + "z"], [words[n][:1] + "z" + words[n][1:]]])
+        texts.append(" ".join(words))
+    letters = cgk_lsh.letters_of(texts)
+    first = [int(n) for n in (letters.owner[:, None] < range(20)).sum(axis=0)]
+    pairs = [(first[n] + i, 40 * n + j) for n in range(20) for i in range(20, 40, 9) for j in range(5, 30) if abs(i - 15 - j) < 6]
+    left, right = index.plausible(letters, *np.array(sorted(pairs)).T)
+    kept, accepted = set(zip(left.tolist(), right.tolist())), 0
+    for i, j in pairs:
+        n = j // 40
+        low, high, a = max(40 * n, j - 24), min(40 * n + 40, j + 24), max(first[n], i - 28)
+        around = [letters.word(w) for w in range(a, min(i + 28, len(letters.owner))) if letters.owner[w] == n]
+        run = cgk_lsh.align(index.words[low:high], index.rare[low:high], around, (i - a) - (j - low))
+        if run and run[1] >= 12:
+            accepted += 1
+            assert (i, j) in kept
+    assert accepted > 30 and len(kept) < len(pairs)
+
+
 # 7
 def test_mix_against_brute_force(spark):
     rng = random.Random(7)
