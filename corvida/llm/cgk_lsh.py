@@ -196,8 +196,7 @@ class PassageIndex:
         near = [self.near.of(texts.word(w)) for w in used[distinct].tolist()]
         counts = np.array([len(x) for x in near], dtype=np.int64)
         ids, gains = (np.concatenate([np.array(x, dtype=np.int64).reshape(-1, 2)[:, k] for x in near] or [np.zeros(0, np.int64)]) for k in range(2))
-        order = np.lexsort((gains, np.repeat(np.arange(len(near)), counts)))  # of equal places the best comes last
-        places, gains = ids[order] % PLACES, gains[order].astype(np.int8)
+        places = ids % PLACES
         begin = np.cumsum(counts) - counts
         kept = []
         side = AROUND // BLOCK + 2
@@ -211,7 +210,7 @@ class PassageIndex:
             entry = np.repeat(begin[which[own]] - np.cumsum(size) + size, size) + np.arange(size.sum())
             cell = np.repeat((used[own] - low) // BLOCK, size) * PLACES + places[entry]
             gain = np.full((CHUNK + 2 * side) * PLACES, -LOST_GAIN, dtype=np.int8)
-            for value in (-NEAR_GAIN, KEPT_GAIN):
+            for value in (-NEAR_GAIN, KEPT_GAIN):  # of equal places the best comes last
                 gain[cell[gains[entry] == value]] = value
             gain = gain.reshape(-1, PLACES)
             gain[1:-1] = np.maximum(np.maximum(gain[:-2], gain[1:-1]), gain[2:])
@@ -235,16 +234,18 @@ class PassageIndex:
         left, right = self.collisions(letters)
         begins = np.searchsorted(letters.owner, np.arange(len(texts) + 1))
         found: dict[tuple[int, int], tuple[int, int, int, int]] = {}
-        tried: set[tuple[int, int, int]] = set()
+        tried: set[tuple[int, int, int, int]] = set()
         words: dict[int, bytes] = {}
         for i, j in zip(left.tolist(), right.tolist()):
             text, passage = int(letters.owner[i]), int(self.found.owner[j])
-            place = (text, passage, (i - j) // LEAST_WORDS)
+            # collisions of one shift whose passage words lie in the same LEAST_WORDS share an alignment around all of these
+            start = int(self.first[passage]) + (j - int(self.first[passage])) // LEAST_WORDS * LEAST_WORDS
+            place = (text, passage, i - j, start)
             if (text, passage) in found or place in tried:
                 continue
             tried.add(place)
-            low, high = max(self.first[passage], j - AROUND), min(self.first[passage + 1], j + AROUND)
-            a, b = max(begins[text], i - AROUND - 4), min(begins[text + 1], i + AROUND + 4)
+            low, high = max(self.first[passage], start - AROUND), min(self.first[passage + 1], start + LEAST_WORDS + AROUND)
+            a, b = max(begins[text], low + i - j - BAND), min(begins[text + 1], high + i - j + BAND)
             for w in range(a, b):
                 if w not in words:
                     words[w] = letters.word(w)
@@ -328,23 +329,26 @@ def small(word: bytes, rare: bool, other: bytes) -> bool:
 
 
 def align(passage: list[bytes], rare: list[bool], words: list[bytes], shift: int) -> tuple[int, int] | None:
-    """(first passage word, passage words) of the best run of the passage in the words.
+    """(first passage word, passage words) of the best run of LEAST_WORDS passage words and more, or else of the best run.
 
     Local alignment within BAND of the place where passage word i meets word i + shift: 1 for a word kept or changed a
     little; a little change of a short word, which may be chance, costs NEAR, a replaced or missing word LOST and a
     stray one STRAY. So a run goes on over a lost word only where it is long on both sides, while sentences of the same
-    kind, which differ in each name and figure, fall apart.
+    kind, which differ in each name and figure, fall apart. A run ends where its score is highest; one of
+    enough words counts though a shorter one has a higher score.
     """
     n, m = len(passage), len(words)
-    score, begin = [0.0] * (m + 1), [0] * (m + 1)
-    best, run = 0.0, None
+    width = m + 1
+    score, begin = [0.0] * width, [0] * width  # begin: of the run, passage word * width + word
+    tops: dict[int, float] = {}
+    best, run = (False, 0.0), None
     for i in range(1, n + 1):
         word, unsure = passage[i - 1], rare[i - 1]
         low, high = max(1, i + shift - BAND), min(m, i + shift + BAND)
         if low > high:
             continue
         above, above_begin = score, begin
-        score, begin = [0.0] * (m + 1), [i] * (m + 1)
+        score, begin = [0.0] * width, [0] * width
         for j in range(low, high + 1):
             other = words[j - 1]
             if word == other:
@@ -354,13 +358,16 @@ def align(passage: list[bytes], rare: list[bool], words: list[bytes], shift: int
             else:
                 gain = -LOST
             s = above[j - 1] + gain
-            start = above_begin[j - 1] if above[j - 1] > 0 else i - 1
+            start = above_begin[j - 1] if above[j - 1] > 0 else (i - 1) * width + j - 1
             if above[j] - LOST > s:
                 s, start = above[j] - LOST, above_begin[j]
             if score[j - 1] - STRAY > s:
                 s, start = score[j - 1] - STRAY, begin[j - 1]
             if s > 0:
                 score[j], begin[j] = s, start
-                if s > best:
-                    best, run = s, (start, i - start)
+                if s > tops.get(start, 0.0):
+                    tops[start] = s
+                    first = start // width
+                    if ((i - first) >= LEAST_WORDS, s) > best:
+                        best, run = ((i - first) >= LEAST_WORDS, s), (first, i - first)
     return run

@@ -200,6 +200,29 @@ def test_the_bound_keeps_all_that_the_alignment_accepts():
     assert accepted > 30 and len(kept) < len(pairs)
 
 
+@pytest.mark.parametrize("kind", ["far", "shifted"])
+def test_a_later_run_counts_though_an_earlier_place_of_its_bucket_does_not(kind):
+    rng = random.Random(63)
+    vocabulary, passages = _passages(rng, 40, 70, 8)
+    index, texts = cgk_lsh.PassageIndex(passages), []
+    for passage in passages:
+        words = passage.split()
+        broken = words[:7] + words[13:6:-1]  # all of its words are there, but no run
+        if kind == "far":
+            texts.append(" ".join(broken + rng.choices(vocabulary, k=31) + words[45:60]))
+        else:
+            texts.append(" ".join(broken + rng.choices(vocabulary, k=18) + words[22:36]))
+    found = {(t, p) for t, p, _, _ in index.leaks(texts)}
+    assert len(found) >= 38 and not found - {(n, n) for n in range(40)}
+
+
+def test_a_short_run_hides_no_longer_one():
+    words = [w.encode() for w in _passages(random.Random(64), 1, 50, 8)[1][0].split()]
+    words, other = words[:30], words[30:]
+    text = words[:11] + other[:3] + words[14:20] + other[3:5] + words[20:26]
+    assert cgk_lsh.align(words, [False] * 30, text, 0) == (14, 12)
+
+
 # 7
 def test_mix_against_brute_force(spark):
     rng = random.Random(7)
