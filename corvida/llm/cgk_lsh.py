@@ -5,7 +5,7 @@ writes the letter it stands on and a random bit of (step, letter) says whether i
 differ by a few edits fall into step again and their outputs differ in few places: edit distance becomes Hamming
 distance. A key samples the outputs at random steps. Every word start of a passage is a window; of a text every
 STRIDE-th word start is, which a passage of twelve words cannot miss. Each repetition has its own bits and samples.
-Windows that more than STOCK passages share letter by letter are stock wording and identify none of them.
+Stock wording collides with each passage that holds it, and the alignment rejects it.
 
 A candidate is verified exactly: its words are aligned with the passage's by dynamic programming, and the longest run
 of passage words counts. A changed letter keeps a word; a stray word costs little, a missing or replaced one much.
@@ -28,7 +28,8 @@ STEPS = 2 * WINDOW
 SAMPLES = 14
 REPETITIONS = 3
 STRIDE = 2
-STOCK = 3
+#: Collisions that are held at once, about.
+MOST = 4_000_000
 LEAST_WORDS = 12
 END, DROP, GAP = 63, 255, 0
 HASH, HEAD = 0x9E3779B97F4A7C15, 8
@@ -132,29 +133,38 @@ def _walks(letters: np.ndarray, starts: np.ndarray, seed: int) -> np.ndarray:
     return key * np.uint64(0x9E3779B97F4A7C15)
 
 
+@dataclass
+class Rarity:
+    """How many passages have a word, and in how many a word is still rare: counted over all passages of all blocks."""
+
+    frequency: Counter
+    common: int
+
+    @staticmethod
+    def of(blocks: list[list[str]]) -> Rarity:
+        frequency: Counter = Counter()
+        for passages in blocks:
+            found = letters_of(passages)
+            frequency.update(w for _, w in {(o, found.word(i)) for i, o in enumerate(found.owner.tolist())})
+        return Rarity(frequency, max(3, sum(map(len, blocks)) // 150))
+
+
 class PassageIndex:
     """All windows of a bounded set of passages; each task holds it whole."""
 
-    def __init__(self, passages: list[str]):
+    def __init__(self, passages: list[str], rarity: Rarity | None = None):
         self.texts = passages
         found = self.found = letters_of(passages)
-        windows = np.lib.stride_tricks.sliding_window_view(found.letters, WINDOW)[found.starts] if len(found.starts) else np.zeros((0, WINDOW), np.uint8)
-        shared: dict[bytes, set[int]] = {}
-        exact = [w.tobytes() for w in windows]
-        for w, owner in zip(exact, found.owner):
-            shared.setdefault(w, set()).add(int(owner))
-        self.windows = np.flatnonzero(np.array([len(shared[w]) <= STOCK for w in exact], dtype=bool))
         self.tables = []
         for r in range(REPETITIONS):
-            keys = _walks(found.letters, found.starts[self.windows], r)
+            keys = _walks(found.letters, found.starts, r)
             order = np.argsort(keys, kind="stable")
             bits = np.zeros(1 << 22, dtype=bool)
             bits[(keys >> np.uint64(42)).astype(np.int64)] = True
-            self.tables.append((keys[order], self.windows[order], bits))
+            self.tables.append((keys[order], order, bits))
         self.words = [found.word(i) for i in range(len(found.starts))]
-        frequency = Counter(w for _, w in set(zip(found.owner.tolist(), self.words)))
-        common = max(3, len(passages) // 150)
-        self.rare = [max(w) <= 10 or frequency[w] <= common for w in self.words]
+        rarity = rarity or Rarity.of([passages])
+        self.rare = [max(w) <= 10 or rarity.frequency[w] <= rarity.common for w in self.words]
         self.first = np.searchsorted(found.owner, np.arange(len(passages) + 1))
         rare = dict(zip(self.words, self.rare))
         self.near = NearWords(sorted(rare), rare)
@@ -164,22 +174,29 @@ class PassageIndex:
 
     def collisions(self, texts: Letters) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers (in the texts, in the passages) of colliding windows around which there may be a leak."""
-        if not len(texts.starts) or not len(self.windows):
+        if not len(texts.starts) or not len(self.words):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         number = np.arange(len(texts.owner))
         first = np.concatenate([[True], texts.owner[1:] != texts.owner[:-1]])
         chosen = np.flatnonzero((number - np.maximum.accumulate(np.where(first, number, 0))) % STRIDE == 0)
-        lefts, rights = [], []
+        hits, loads = [], np.zeros(len(chosen), dtype=np.int64)
         for r, (keys, order, bits) in enumerate(self.tables):
             own = _walks(texts.letters, texts.starts[chosen], r)
             hit = np.flatnonzero(bits[(own >> np.uint64(42)).astype(np.int64)])
             low = np.searchsorted(keys, own[hit], "left")
             counts = np.searchsorted(keys, own[hit], "right") - low
-            lefts.append(np.repeat(chosen[hit], counts))
-            rights.append(order[np.repeat(low, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)])
-        count = len(self.words)
-        pairs = np.stack(np.divmod(np.unique(np.concatenate(lefts) * count + np.concatenate(rights)), count))
-        return self.plausible(texts, pairs[0], pairs[1])
+            loads[hit] += counts
+            hits.append((order, hit, low, counts))
+        parts, count, kept = np.cumsum(loads) // MOST, len(self.words), []
+        for part in np.unique(parts[loads > 0]):
+            pairs = []
+            for order, hit, low, counts in hits:
+                own = parts[hit] == part
+                at, low, counts = hit[own], low[own], counts[own]
+                pairs.append(np.repeat(chosen[at], counts) * count + order[np.repeat(low - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())])
+            kept.append(self.plausible(texts, *np.divmod(np.unique(np.concatenate(pairs)), count)))
+        none = np.zeros(0, np.int64)
+        return tuple(np.concatenate([x[k] for x in kept] or [none]) for k in range(2))
 
     def plausible(self, texts: Letters, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The collisions, in order of left, around which align may accept a run.

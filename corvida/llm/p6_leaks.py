@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvida.llm.cgk_lsh import PassageIndex
+from corvida.llm.cgk_lsh import PassageIndex, Rarity
 from corvida.session import table
 
 #: Characters of passages in one index, which is about 40 bytes a character in each task.
@@ -39,9 +39,10 @@ def leaks(docs: DataFrame, passages: DataFrame) -> DataFrame:
     total = distinct.agg(F.sum(F.length("passage"))).first()[0] or 0
     blocks = 1 + int(total) // BLOCK_CHARACTERS
     parts = []
-    for block in range(blocks):
-        own = sorted(r[0] for r in distinct.where(F.pmod(F.xxhash64("passage"), F.lit(blocks)) == block).collect())
-        index = PassageIndex(own)
+    owns = [sorted(r[0] for r in distinct.where(F.pmod(F.xxhash64("passage"), F.lit(blocks)) == block).collect()) for block in range(blocks)]
+    rarity = Rarity.of(owns)
+    for own in owns:
+        index = PassageIndex(own, rarity)
 
         def find(batches, index=index):
             for batch in batches:

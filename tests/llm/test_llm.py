@@ -223,6 +223,26 @@ def test_a_short_run_hides_no_longer_one():
     assert cgk_lsh.align(words, [False] * 30, text, 0) == (14, 12)
 
 
+def test_versions_of_a_passage_do_not_hide_each_other():
+    rng = random.Random(65)
+    vocabulary, passages = _passages(rng, 20, 40, 8)
+    versions = [" ".join([*p.split()[:32], *rng.choices(vocabulary, k=8)]) for p in passages for _ in range(5)]
+    found = {(t, p) for t, p, _, _ in cgk_lsh.PassageIndex(versions).leaks([" ".join(p.split()[8:26]) for p in passages])}
+    assert found == {(n // 5, n) for n in range(100)}
+
+
+def test_the_verdict_does_not_depend_on_the_block(spark, monkeypatch):
+    rng = random.Random(66)
+    vocabulary, passages = _passages(rng, 60, 30, 5)
+    passages = [" ".join([*p.split()[:10], "buong", "trong"]) for p in passages]
+    docs = spark.createDataFrame([(n, p.replace("trong", "trang").replace("buong", "buang")) for n, p in enumerate(passages)], "doc_id long, text string")
+    items = spark.createDataFrame([(p,) for p in passages], "passage string")
+    whole = {tuple(r) for r in p6_leaks.leaks(docs, items).select("doc_id", "passage").collect()}
+    assert len(whole) > 50
+    monkeypatch.setattr(p6_leaks, "BLOCK_CHARACTERS", 150)
+    assert {tuple(r) for r in p6_leaks.leaks(docs, items).select("doc_id", "passage").collect()} == whole
+
+
 # 7
 def test_mix_against_brute_force(spark):
     rng = random.Random(7)
