@@ -100,7 +100,6 @@ class Identifier:
         self.expected = expected
         self.own = [i for i, lang in enumerate(self.langs) if lang == expected]
         self.cost = lru_cache(maxsize=500_000)(self._cost)
-        self.strange = lru_cache(maxsize=500_000)(self._strange)
 
     def _cost(self, word: str) -> tuple[float, ...]:
         """Out-of-place distance of a word to each profile, in units of the maximum."""
@@ -110,11 +109,6 @@ class Identifier:
                 total[i] += r
         return tuple(t / self.size for t in total)
 
-    def _strange(self, word: str) -> bool:
-        """Is another language clearly nearer than the expected one?"""
-        cost = self.cost(word)
-        return bool(cost) and min(cost) < min((cost[i] for i in self.own), default=0.0) - 0.5
-
     def stretches(self, text: str | None) -> list[Stretch]:
         """The stretches of one language each, in order; short ones of another language belong to their neighbours."""
         if not text:
@@ -125,8 +119,6 @@ class Identifier:
             text = lowered
         tokens: list[tuple[str, str, int, int, bool]] = []  # kind, word, start, end, after a stop
         stop = True
-        strange = 0
-        kinds = False
         for m in _TOKEN.finditer(lowered):
             kind = m.lastgroup
             if kind == "stop":
@@ -135,15 +127,8 @@ class Identifier:
             word = m[0]
             tokens.append((kind, word, m.start(), m.end(), stop))
             stop = False
-            if kind == "cjk":
-                kinds = True
-            elif self.strange(word):
-                strange += 1
         if not tokens:
             return []
-        if not kinds and strange < 3 and (self.own or not self.names) and strange * 2 < max(3, len(tokens)):
-            sentences = sum(t[4] for t in tokens)
-            return [Stretch(tokens[0][2], tokens[-1][3], self.expected, round(1 - strange / (len(tokens) + 1), 4), len(tokens), sentences)]
         return self._divide(tokens)
 
     def _divide(self, tokens) -> list[Stretch]:

@@ -108,6 +108,14 @@ def test_languages_of_held_out_sentences(spark):
     assert [s.lang for s in langid.Identifier({}).stretches("xin chào")] == ["vi"]
 
 
+def test_a_short_foreign_sentence_in_a_long_text_is_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang", "text")
+    text = "Bà hàng xóm khóa chặt chiếc đèn dầu ở bến xe khách. {} Cô thợ may từng sơn mới chiếc đèn dầu, còn bây giờ thì khác."
+    identifier = langid.Identifier(langid.fit_profiles(docs))
+    for sentence in ("He sang there.", "Good night, Tom.", "The lamp is on."):
+        assert [s.lang for s in identifier.stretches(text.format(sentence))] == ["vi", "en", "vi"], sentence
+
+
 # 5
 def test_one_form_is_a_fixed_point_and_keeps_real_words():
     compile_mapping()
