@@ -2,7 +2,8 @@
 
 The counting vote of an annotator on a sample is the one with the latest voted_at; of equal times the highest vote_id
 counts, and a vote without a time comes before all others. If it is unreadable or null, the annotator has no counting
-vote there. Votes without sample or annotator are left out. Exact repeats change nothing. Extra columns are ignored.
+vote there. Votes without sample or annotator are left out. Exact repeats change nothing. A draft that is null cannot
+be the right one; of a sample that is not in the table any label may be right. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,20 +32,29 @@ def counting_votes(votes: DataFrame) -> DataFrame:
     return last.select(F.col("sample_id").alias("item"), F.col("annotator_id").alias("annotator"), readable(F.col("label")).alias("label")).where("label is not null")
 
 
-def votes_by_item(votes: DataFrame) -> DataFrame:
-    """(item, votes): an item has one vote of an annotator at most, so an array is no longer than there are annotators."""
-    return votes.groupBy("item").agg(F.sort_array(F.collect_list(F.struct("annotator", "label"))).alias("votes"))
+def barred_labels(samples: DataFrame) -> DataFrame:
+    """(item, barred): a bit for each label that names a draft the sample does not have. Repeated rows count once."""
+    bits = sum((F.when(F.col(f"asr_{name}").isNull(), 1 << i).otherwise(0) for i, name in enumerate(LABELS) if name != "none"), F.lit(0))
+    return samples.where("id is not null").groupBy(F.col("id").alias("item")).agg(F.bit_and(bits).alias("barred"))
+
+
+def votes_by_item(votes: DataFrame, barred: DataFrame) -> DataFrame:
+    """(item, votes, barred): an item has one vote of an annotator at most, so an array is no longer than there are annotators."""
+    grouped = votes.groupBy("item").agg(F.sort_array(F.collect_list(F.struct("annotator", "label"))).alias("votes"))
+    return grouped.join(barred, "item", "left").select("item", "votes", F.coalesce("barred", F.lit(0)).alias("barred"))
 
 
 def _fitted(spark: SparkSession, sf_dir: str):
-    items = checkpointed(votes_by_item(counting_votes(table(spark, sf_dir, "draft_votes"))))
-    return items, truth_mixture.fit(items, len(LABELS))
+    """All votes, those that are no copies of others, and the fit on these."""
+    barred = barred_labels(table(spark, sf_dir, "samples").select("id", *(f"asr_{name}" for name in LABELS if name != "none")))
+    items = checkpointed(votes_by_item(counting_votes(table(spark, sf_dir, "draft_votes")), barred))
+    own = truth_mixture.without_copies(items, truth_mixture.fit(items, len(LABELS), truth_mixture.ROUGH))
+    return items, own, truth_mixture.fit(own, len(LABELS))
 
 
 def p3_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The consensus of every voted sample with its confidence, votes and agreement (share of agreeing pairs of votes)."""
-    items, fitted = _fitted(spark, sf_dir)
-    found = truth_mixture.consensus(items, fitted, LABELS)
+    found = truth_mixture.consensus(*_fitted(spark, sf_dir), LABELS)
     return found.select(F.col("item").alias("sample_id"), "label", F.round("confidence", 6).alias("confidence"), "votes", F.round("agreement", 6).alias("agreement"))
 
 
@@ -53,9 +63,8 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_annotators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reliability of each annotator: trust, and the distribution of guesses."""
-    _, fitted = _fitted(spark, sf_dir)
-    return truth_mixture.annotators(spark, fitted, LABELS)
+    """The reliability of each annotator: trust, the share of copied votes, labels mixed up, and the distribution of guesses."""
+    return truth_mixture.annotators(*_fitted(spark, sf_dir), LABELS)
 
 
 QUERIES = {"p3_found": p3_found, "p3_consensus": p3_consensus, "p3_annotators": p3_annotators}

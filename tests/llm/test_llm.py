@@ -66,22 +66,75 @@ def test_rendering_tells_a_cut_translation():
 
 
 # 3
+def _items(spark, rows, barred=()):
+    votes = spark.createDataFrame(rows, "item string, annotator string, label int")
+    return p3_consensus.votes_by_item(votes, spark.createDataFrame(list(barred), "item string, barred int"))
+
+
+def _consensus(items, own, fitted, names):
+    return {r["item"]: r["label"] for r in truth_mixture.consensus(items, own, fitted, names).collect()}
+
+
 def test_mixture_outvotes_spammers_and_both_fits_agree(spark):
     rng = random.Random(3)
     truth = {f"i{n}": rng.randrange(3) for n in range(120)}
+    swapped = {0: 1, 1: 0, 2: 2}
     rows = []
     for item, label in truth.items():
         rows += [(item, f"good{a}", label if rng.random() < 0.9 else rng.randrange(3)) for a in range(4)]
+        rows += [(item, "mixes up", swapped[label] if rng.random() < 0.95 else rng.randrange(3))]
         rows += [(item, f"spam{a}", 0) for a in range(2)]
-    votes = spark.createDataFrame(rows, "item string, annotator string, label int")
-    items = p3_consensus.votes_by_item(votes).cache()
+    items = _items(spark, rows).cache()
     fitted = truth_mixture.fit(items, 3)
-    assert min(fitted.trust[f"good{a}"] for a in range(4)) > 0.8 > 0.2 > max(fitted.trust[f"spam{a}"] for a in range(2))
-    found = {r["item"]: r["label"] for r in truth_mixture.consensus(items, fitted, ("a", "b", "c")).collect()}
-    assert sum(found[i] == "abc"[t] for i, t in truth.items()) > 0.93 * len(truth)
-    params, _ = truth_mixture.fit_by_join(votes, 3)
-    for row in params.collect():
-        assert row["trust"] == pytest.approx(fitted.trust[row["annotator"]], abs=0.02)
+    trust = dict(zip(fitted.names, fitted.parameters.trust))
+    assert min(trust[f"good{a}"] for a in range(4)) > 0.8 > 0.2 > max(trust[f"spam{a}"] for a in range(2)) and trust["mixes up"] > 0.8
+    assert dict(zip(fitted.names, fitted.parameters.reading.tolist())) == {n: [1, 0, 2] if n == "mixes up" else [0, 1, 2] for n in trust}
+    found = _consensus(items, items, fitted, ("a", "b", "c"))
+    assert sum(found[i] == "abc"[t] for i, t in truth.items()) > 0.95 * len(truth)
+    fitted = truth_mixture.fit(items, 3, 1e-3)
+    joined = truth_mixture.fit(items, 3, 1e-3, max_local=2)
+    assert joined.steps == fitted.steps and joined.log_likelihood == pytest.approx(fitted.log_likelihood)
+    trust = dict(zip(fitted.names, fitted.parameters.trust))
+    for row in joined.table.collect():
+        assert row["trust"] == pytest.approx(trust[row["annotator"]], abs=1e-6)
+    found = _consensus(items, items, fitted, ("a", "b", "c"))
+    assert _consensus(items, items, joined, ("a", "b", "c")) == found
+
+
+def test_copied_votes_are_no_evidence(spark):
+    rng = random.Random(5)
+    truth, honest = {f"i{n}": rng.randrange(4) for n in range(400)}, ("n1", "n2", "n3", "n4", "n5")
+    rows = []
+    for item, label in truth.items():
+        said = {a: label if rng.random() < 0.75 else rng.randrange(4) for a in honest}
+        weak = label if rng.random() < 0.4 else rng.randrange(4)
+        if rng.random() < 0.7:
+            rows += [(item, "leader", weak), (item, "copier", weak), (item, "parrot", weak)]
+        elif rng.random() < 0.5:
+            rows += [(item, c, rng.randrange(4)) for c in ("copier", "parrot")]
+        rows += [(item, a, y) for a, y in said.items()]
+    items = _items(spark, rows).cache()
+    rough = truth_mixture.fit(items, 4, truth_mixture.ROUGH)
+    own = truth_mixture.without_copies(items, rough).cache()
+    fitted = truth_mixture.fit(own, 4)
+    report = {r["annotator"]: r for r in truth_mixture.annotators(items, own, fitted, tuple("abcd")).collect()}
+    assert max(report[a]["copied"] for a in honest) == 0 and sum(report[a]["copied"] > 0.6 for a in ("leader", "copier", "parrot")) == 2
+
+    def right(found):
+        return sum(found[i] == "abcd"[t] for i, t in truth.items()) / len(truth)
+
+    assert right(_consensus(items, own, fitted, tuple("abcd"))) > max(0.9, right(_consensus(items, items, rough, tuple("abcd"))))
+    by_join = truth_mixture.without_copies(items, truth_mixture.fit(items, 4, 1e-2, max_local=1))
+    assert abs(by_join.agg(F.sum(F.size("votes"))).first()[0] - own.agg(F.sum(F.size("votes"))).first()[0]) < 20
+
+
+def test_a_draft_that_is_not_there_is_never_right(spark):
+    items = _items(spark, [("x", "a", 0), ("x", "b", 0), ("x", "c", 1), ("y", "a", 0)], [("x", 1), ("z", 7)])
+    fitted = truth_mixture.fit(items, 3, 1e-2)
+    found = _consensus(items, items, fitted, ("a", "b", "c"))
+    assert set(found) == {"x", "y"} and found["x"] == "b"
+    samples = spark.createDataFrame([("x", None, "t", "t", None), ("x", None, "t", "t", None), (None, "t", "t", "t", "t")], "id string, asr_google string, asr_internal string, asr_phowhisper string, asr_rover string")
+    assert [tuple(r) for r in p3_consensus.barred_labels(samples).collect()] == [("x", 9)]
 
 
 def test_counting_votes(spark):
@@ -89,8 +142,9 @@ def test_counting_votes(spark):
     rows = [(1, "s", "a", "Google", None, 0), (2, "s", "a", " asr_rover ", None, 0), (3, "s", "b", "???", None, 0), (4, "s", "c", None, None, 0), (5, None, "d", "none", None, 0), (6, "s", "e", "none of them", None, 0)]
     got = {(r["annotator"], r["label"]) for r in p3_consensus.counting_votes(spark.createDataFrame(rows + rows, schema)).collect()}
     assert got == {("a", 3), ("e", 4)}
-    empty = p3_consensus.votes_by_item(p3_consensus.counting_votes(spark.createDataFrame([], schema)))
-    assert truth_mixture.consensus(empty, truth_mixture.fit(empty, 5), p3_consensus.LABELS).count() == 0
+    empty = p3_consensus.votes_by_item(p3_consensus.counting_votes(spark.createDataFrame([], schema)), spark.createDataFrame([], "item string, barred int"))
+    fitted = truth_mixture.fit(empty, 5)
+    assert truth_mixture.consensus(empty, truth_mixture.without_copies(empty, fitted), fitted, p3_consensus.LABELS).count() == 0
 
 
 # 4
