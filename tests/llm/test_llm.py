@@ -190,6 +190,17 @@ def test_not_in_form_on_odd_tables(spark):
     assert p5_lookalikes.not_in_form(rows.limit(0), "id", ("a", "b")).count() == 0
 
 
+def test_clusters_of_every_order_widths_ligatures_and_other_scripts():
+    mapping, letters = compile_mapping()
+    assert any(len(k) == 3 for k in mapping) and all(canonical(canonical(k)) == canonical(k) for k in (*mapping, *letters))
+    for text, form in {
+        "e\u0323\u0302 e\u0302\u0323 \u1eb9\u0302 \u00ea\u0323": "ệ ệ ệ ệ", "ﬁn Ⅳ": "fin IV", "ｂｅ\u0301 ｔｏ": "bé to", "e\u200b\u0301": "é",
+        "bа\u0300 nội": "bà nội", "ꓐank Ꭺnna օne": "Bank Anna one", "Олена приехала": "Олена приехала", "[ɑː] /aɪ/": "[ɑː] /aɪ/", "日本、（本）！": "日本、（本）！",
+        "می\u200cخواهم": "می\u200cخواهم",
+    }.items():
+        assert canonical(text) == form and canonical(form) == form, text
+
+
 # 6
 def test_leaks_against_brute_force(spark):
     rng = random.Random(6)
