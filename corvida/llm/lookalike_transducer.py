@@ -139,7 +139,7 @@ _LETTER_LIKE = rf"[\p{{L}}\p{{M}}\p{{N}}{_UNSEEN}]"
 _CLUSTER = regex.compile(rf"[\p{{L}}\p{{N}}][\p{{M}}{_UNSEEN}\u1160-\u11ff]*|[\p{{M}}{_UNSEEN}]+")
 _PASS = regex.compile(
     r"(?P<spoken>[\[/⟨][^\[\]/⟨⟩\s]{1,12}[\]/⟩])"
-    rf"|(?P<native>(?<=[{_CJK}、。「」『』・ー\d])[！（），．：；？～]|（(?=[{_CJK}]))"
+    rf"|(?P<native>(?<=[{_CJK}、。「」『』）・ー\d])[！（），．：；？～]|（(?=[{_CJK}]))"
     rf"|(?P<word>{_LETTER_LIKE}+)"
     rf"|(?P<sign>[{''.join(regex.escape(k) for k in sorted(MAPPING) if len(k) == 1)}][\p{{M}}]*)"
 )

@@ -14,9 +14,9 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
+from pyspark.sql import types as T
 
-from corvida.llm.prefix_cut import LEAST_GAP, cut_gap
+from corvida.llm.prefix_cut import LEAST_GAP, cut_of
 from corvida.session import table
 
 #: The fields of a sample with the kind of transcript they hold; a model's answers are of the same kind as its field.
@@ -46,15 +46,19 @@ def copies_by_recording(values: DataFrame) -> DataFrame:
     return longest.groupBy("recording").agg(F.sort_array(F.collect_list("text")).alias("copies"))
 
 
-@F.pandas_udf(IntegerType())
-def letters_missing(texts: pd.Series, copies: pd.Series) -> pd.Series:
-    return pd.Series([cut_gap(t, list(c)) for t, c in zip(texts, copies)], dtype="int32")
+GAP = T.StructType([T.StructField("missing", T.IntegerType()), T.StructField("prefix", T.BooleanType())])
+
+
+@F.pandas_udf(GAP)
+def letters_missing(texts: pd.Series, copies: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([cut_of(t, list(c)) for t, c in zip(texts, copies)], columns=["missing", "prefix"]).astype({"missing": "int32", "prefix": bool})
 
 
 def cut_values(values: DataFrame) -> DataFrame:
-    """The checked transcripts with `missing`, the letters of speech behind their end: 0 for whole ones."""
+    """The checked transcripts with `missing`, the letters of speech behind their end: 0 for whole ones; and `prefix`,
+    whether a copy goes on letter for letter."""
     checked = values.where("checked").drop("checked", "kind")
-    return checked.join(copies_by_recording(values), "recording").withColumn("missing", letters_missing("text", "copies")).drop("copies")
+    return checked.join(copies_by_recording(values), "recording").withColumn("gap", letters_missing.asNondeterministic()("text", "copies")).select("*", "gap.*").drop("copies", "gap")
 
 
 def _values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,11 +70,12 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For each source_dataset and each model_name, how many of its transcripts are cut. Repeated rows count once."""
-    records = cut_values(_values(spark, sf_dir)).groupBy("table_name", "origin", "record_key").agg(F.max("missing").alias("missing"))
+    """For each source_dataset and each model_name, how many of its transcripts are cut, and how many of these are strict
+    prefixes of a copy. Repeated rows count once."""
+    records = cut_values(_values(spark, sf_dir)).groupBy("table_name", "origin", "record_key").agg(F.max(F.struct("missing", "prefix")).alias("gap")).select("*", "gap.*")
     cut = F.count_if(F.col("missing") >= LEAST_GAP)
     return records.groupBy("table_name", "origin").agg(
-        F.count("*").alias("transcripts"), cut.alias("cut"), F.round(cut / F.count("*"), 6).alias("share")
+        F.count("*").alias("transcripts"), cut.alias("cut"), F.count_if((F.col("missing") >= LEAST_GAP) & F.col("prefix")).alias("prefixes"), F.round(cut / F.count("*"), 6).alias("share")
     )
 
 

@@ -57,9 +57,14 @@ def end_gap(value: tuple[str, ...], copy: tuple[str, ...]) -> int | None:
 
 def cut_gap(value: str, copies: list[str]) -> int:
     """Letters of speech that the value lacks at its end; 0 when it is whole or nothing can be told."""
+    return cut_of(value, copies)[0]
+
+
+def cut_of(value: str, copies: list[str]) -> tuple[int, bool]:
+    """cut_gap, and whether the value is a strict prefix of a copy: what is left is found by the alignment alone."""
     words = words_of(value)
     if not words:
-        return 0
+        return 0, False
     gaps, exact = [], []
     letters = None
     for copy in copies:
@@ -75,9 +80,9 @@ def cut_gap(value: str, copies: list[str]) -> int:
             if "".join(other).startswith(letters):
                 exact.append(gap)
     if not gaps:
-        return 0
+        return 0, False
     gaps.sort()
     middle = gaps[len(gaps) // 2]
     if middle >= LEAST_GAP:
-        return middle
-    return max(exact) if len(exact) * 3 >= len(gaps) else 0
+        return middle, bool(exact)
+    return (max(exact), True) if len(exact) * 3 >= len(gaps) else (0, False)
