@@ -9,7 +9,8 @@ letters are left than it reads. Each repetition has its own bits and samples.
 
 A collision is verified in two steps, the first for all collisions of a slice of texts at once. A leak has LEAST_WORDS
 running passage words of which one at most is missing or replaced, and no figure is: so around the collision such words
-must stand, up to SHIFT words from its diagonal, each equal or of a shape that a little changed word may have. The exact
+must stand, up to SHIFT words from its diagonal, each equal or, up to NEAR_SHIFT words from it, of a shape that a little
+changed word may have, and LEAST_EQUAL of them equal. The exact
 alignment of words decides: a changed letter keeps a word; a stray word costs little, a missing or replaced one much, and
 another figure ends the run.
 """
@@ -26,18 +27,18 @@ from corvida.llm.lookalike_transducer import LATIN_STANDINS, LOOKALIKES
 
 WINDOW = 24
 STEPS = 2 * WINDOW
-SAMPLES = 12
+SAMPLES = 13
 REPETITIONS = 3
 STRIDE = 2
 #: Collisions that are held at once, about, and that are looked at together.
 MOST, CHUNK = 4_000_000, 20_000
-LEAST_WORDS, LEAST_EQUAL, SHIFT = 12, 6, 2
+LEAST_WORDS, LEAST_EQUAL, SHIFT, NEAR_SHIFT = 12, 6, 2, 1
 END, DROP, GAP = 63, 255, 0
 HASH = 0x9E3779B97F4A7C15
 #: Words on either side of a collision that are aligned.
 AROUND = 2 * LEAST_WORDS
 #: Prices in the alignment, of a figure that is missing or another one, and the words that it may be off the diagonal.
-LOST, STRAY, NEAR, FIGURE, BAND = 5.5, 0.7, 1.6, 1000.0, 8
+LOST, STRAY, NEAR, FIGURE, BAND = 6.5, 0.7, 1.6, 1000.0, 8
 #: Room around the words of a row, so that those around any of them can be looked up.
 ROOM = LEAST_WORDS + SHIFT
 #: Code of the last digit: a word of digits only is a figure.
@@ -267,10 +268,10 @@ class PassageIndex:
         return left[kept], right[kept]
 
     def _near(self, texts: Shapes, found: Letters, i: np.ndarray, j: np.ndarray, exactly: bool) -> np.ndarray:
-        """Whether a text word up to SHIFT from i may be passage word j, by shape or by its letters."""
+        """Whether a text word up to NEAR_SHIFT from i may be passage word j, by shape or by its letters."""
         own, near = self.shapes, np.zeros(len(i), dtype=bool)
         length, ends, letters, edits = own.length[j], own.ends[:, j], own.letters[j], np.where(own.length[j] >= 7, 4, 2)
-        for shift in range(-SHIFT, SHIFT + 1):
+        for shift in range(-NEAR_SHIFT, NEAR_SHIFT + 1):
             other = i + shift
             hit = (np.abs(length - texts.length[other]) <= 2) & ((ends[0] == texts.ends[0, other]) | (ends[1] == texts.ends[1, other]))
             hit &= np.bitwise_count(letters ^ texts.letters[other]) <= edits
