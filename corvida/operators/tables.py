@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvida.functions.text import is_blank
+from corvida.session import checkpointed
 
 
 def wins(df: DataFrame, key: list[str], order: list, last: bool = True) -> DataFrame:
@@ -60,3 +61,20 @@ def upsert(old: DataFrame, new: DataFrame, key: str, replaced: list[str], protec
 def first_of(*candidates: Column) -> Column:
     """The first candidate that is not blank."""
     return F.coalesce(*(F.when(~is_blank(c), c) for c in candidates))
+
+
+def numbered(df: DataFrame, order: list, name: str) -> DataFrame:
+    """The rows with their number from 0 in the given order.
+
+    Rows are range-sorted over all tasks, numbered within each range, and moved on by the rows of the ranges before:
+    only one row a range meets in one task. The sorted rows are kept in the checkpoint folder, so both looks at them
+    see the same ranges.
+    """
+    row_bits = 33  # of monotonically_increasing_id; the bits above are the range's
+    ranged = checkpointed(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()))
+    ranged = ranged.withColumn("_range", F.shiftright("_at", row_bits))
+    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    number = F.col("_before") + F.col("_at") - F.shiftleft(F.col("_range"), row_bits)
+    return ranged.join(offsets, "_range").withColumn(name, number).drop("_at", "_range", "_before")
