@@ -25,11 +25,23 @@ TONED = {
 WORD_CLASS = r"\p{L}\p{N}_\x{00C0}-\x{1EF9}"
 
 
+#: Characters without any of which a text is composed already: marks, conjoining jamo, and what never stays in NFC.
+UNCOMPOSED = (
+    r"[\p{M}\x{1100}-\x{11ff}\x{0340}-\x{0387}\x{0958}-\x{095f}\x{09dc}-\x{09df}\x{0a33}-\x{0a5e}\x{0b5c}\x{0b5d}\x{0f43}-\x{0fb9}\x{1f00}-\x{2001}"
+    r"\x{2126}-\x{212b}\x{2329}\x{232a}\x{2adc}\x{f900}-\x{faff}\x{fb1d}-\x{fb4e}\x{1d15e}-\x{1d1c0}\x{2f800}-\x{2fa1d}]"
+)
+
+
 @F.pandas_udf(StringType())
-def nfc(values: pd.Series) -> pd.Series:
+def _composed(values: pd.Series) -> pd.Series:
     return values.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
 
 
+def nfc(col: Column) -> Column:
+    """Composed letters. Only texts with a character that composition may touch are sent to Python; others go as null."""
+    return F.coalesce(_composed(F.when(col.rlike(UNCOMPOSED), col)), col)
+
+
 def is_blank(col: Column) -> Column:
     """Null or without a visible character. Finalising uses isNull instead: an empty value is a value there."""
     return F.coalesce(F.trim(col) == "", F.lit(True))
@@ -63,16 +75,19 @@ def has_exclusive_marks(col: Column) -> Column:
     return F.lower(col).rlike(VI_EXCLUSIVE)
 
 
-def looks_vietnamese(col: Column, least_share: float = 0.15) -> Column:
+def looks_vietnamese(col: Column, least_share: float = 0.15, detected: Column | None = None) -> Column:
     """Blank texts pass; up to six words need one word with marks, longer ones a share of them.
 
-    Where marks do not decide, a language detector would; without one, any marked word counts.
+    Where marks do not decide, the language that a detector gave decides; where it gave none, any marked word counts.
     """
     all_words = raw_words(col)
     marked = F.size(F.filter(all_words, lambda w: F.lower(w).rlike(VI_MARKED)))
     n = F.size(all_words)
     decided = F.when(n <= 6, marked >= 1).otherwise(marked / F.greatest(n, F.lit(1)) >= least_share)
-    return F.when(is_blank(col), True).otherwise(decided | (marked > 0))
+    fallback = marked > 0
+    if detected is not None:
+        fallback = F.when(is_blank(detected), fallback).otherwise(F.lower(F.trim(detected)).rlike("^vi"))
+    return F.when(is_blank(col), True).otherwise(decided | fallback)
 
 
 def plausible_length(source: Column, target: Column) -> Column:
@@ -90,7 +105,7 @@ def plausible_length(source: Column, target: Column) -> Column:
 def is_term_list(col: Column) -> Column:
     """Parts between commas or slashes have three words at most, and there is one."""
     stripped = F.regexp_replace(F.trim(col), r"\.+$", "")
-    parts = F.filter(F.transform(F.split(stripped, "[,/]"), F.trim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(stripped, "[,/]"), lambda p: F.trim(p)), lambda p: p != "")
     return F.coalesce((F.size(parts) > 0) & F.forall(parts, lambda p: F.size(raw_words(p)) <= 3), F.lit(False))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corvida.functions import text as T
 from corvida.operators import lexicon as L
+from corvida.operators import tables as O
 from corvida.plans.text_queries import norm_sql, raw_words_sql
 from corvida.session import table
 
@@ -108,26 +109,19 @@ def term_verification(spark, sf_dir):
 
 def bigram_mining(spark, sf_dir):
     """Adjacent pairs of different words with a shared rhyme, or the same rhyme's first letter, seen often enough."""
-    words = F.transform(F.array(T.words(T.normalized(F.col("text")))), lambda ws: F.transform(F.sequence(F.lit(1), F.size(ws) - 1), lambda i: F.struct(ws[i - 1].alias("a"), ws[i].alias("b"))))[0]
-    vi = table(spark, sf_dir, "documents").where(F.col("lang") == "vi").where(F.size(T.words(T.normalized(F.col("text")))) >= 2)
-    pairs = vi.select(F.explode(words).alias("p")).select("p.a", "p.b").where("a <> b").groupBy("a", "b").agg(F.count("*").alias("n")).where("n >= 3")
+    texts = table(spark, sf_dir, "documents").where(F.col("lang") == "vi").select(T.words(T.normalized(F.col("text"))).alias("ws")).where(F.size("ws") >= 2)
+    words = F.transform(F.sequence(F.lit(1), F.size("ws") - 1), lambda i: F.struct(F.get("ws", i - 1).alias("a"), F.get("ws", i).alias("b")))
+    pairs = texts.select(F.explode(words).alias("p")).select("p.a", "p.b").where("a <> b").groupBy("a", "b").agg(F.count("*").alias("n")).where("n >= 3")
     shared = T.shared_rhyme(F.concat_ws(" ", "a", "b"))
     return pairs.withColumn("rhyme", shared).where("rhyme <> ''")
 
 
 def merge_sources(spark, sf_dir):
-    """Union of three sources with their provenance, numbered across all of them in source and id order.
-
-    Numbers come from counts of key ranges and ranks within them, so that no single task ranks the whole table.
-    """
+    """Union of three sources with their provenance, numbered across all of them in source and id order."""
     docs = table(spark, sf_dir, "documents").select(F.lit(0).alias("ord"), F.lit("documents").alias("origin"), F.col("doc_id").cast("string").alias("key"))
     samples = table(spark, sf_dir, "samples").select(F.lit(1).alias("ord"), F.lit("samples").alias("origin"), F.col("id").alias("key")).distinct()
     items = table(spark, sf_dir, "eval_items").select(F.lit(2).alias("ord"), F.lit("eval_items").alias("origin"), F.col("item_id").cast("string").alias("key"))
-    rows = docs.unionByName(samples).unionByName(items).withColumn("bucket", F.substring("key", 1, 6))
-    counts = rows.groupBy("ord", "bucket").agg(F.count("*").alias("n"))
-    offsets = counts.withColumn("offset", F.coalesce(F.sum("n").over(Window.orderBy("ord", "bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    rank = F.row_number().over(Window.partitionBy("ord", "bucket").orderBy("key"))
-    return rows.withColumn("rank", rank).join(offsets, ["ord", "bucket"]).select((F.col("offset") + F.col("rank") - 1).cast("bigint").alias("number"), "origin", "key")
+    return O.numbered(docs.unionByName(samples).unionByName(items), ["ord", "key"], "number").select("number", "origin", "key")
 
 
 QUERIES = {

@@ -117,22 +117,15 @@ SEED = "42"
 
 
 def distractors_tiered(spark, sf_dir):
-    """Three wrong brands for each part: brands of its type first, then of others, in seeded md5 order.
+    """Three wrong brands for each part: brands of its type first, then of all, in seeded md5 order.
 
-    Candidates are the distinct (type, brand) pairs, a catalogue much smaller than the parts; ranking needs each part's
-    type only, so it is done once for each (type, brand, seed of the part's size).
+    A part looks at the first few candidates of its type and at the first few of all, which are ranked once.
     """
-    part = table(spark, sf_dir, "part")
-    brands = part.select(F.col("p_type").alias("t"), F.col("p_brand").alias("b")).distinct()
-    entries = part.select("p_type", "p_brand", "p_size").distinct()
-    any_brand = brands.select("b").distinct()
-    same = brands.select(F.col("t").alias("p_type"), "b", F.lit(0).alias("tier"))
-    near = entries.join(same, "p_type").where("b <> p_brand")
-    far = entries.join(any_brand, F.col("b") != F.col("p_brand")).select(*entries.columns, "b", F.lit(1).alias("tier"))
-    best = near.unionByName(far).groupBy(*entries.columns, "b").agg(F.min("tier").alias("tier"))
-    order = F.md5(F.concat_ws("|", F.lit(SEED), F.col("p_size").cast("string"), "p_type", "p_brand", "b"))
-    rank = F.row_number().over(Window.partitionBy("p_type", "p_brand", "p_size").orderBy("tier", order))
-    return best.withColumn("rank", rank).where("rank <= 3").select("p_type", "p_brand", "p_size", "b", F.col("rank").cast("bigint").alias("rank"))
+    from corvida.plans.generation_queries import distractors, first_candidates
+
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
+    found = first_candidates(part, part, "p_type", "p_brand").withColumn("wrong", distractors(F.col("p_brand"), F.col("near"), F.col("far")))
+    return found.where("wrong is not null").select("p_partkey", F.posexplode("wrong").alias("pos", "b")).select("p_partkey", "b", (F.col("pos") + 1).cast("bigint").alias("rank"))
 
 
 def choice_order(spark, sf_dir):
@@ -158,13 +151,13 @@ GAP, SPAN = 20_000.0, 200_000.0
 
 
 def _fold(cues: Column) -> Column:
-    """Greedy segments over sorted cues: a gap or too long a span closes one. One user's cues are one row's array."""
+    """Greedy segments over the sorted cues of one island: too long a span closes one."""
     segment = lambda s, e: F.struct(s.alias("start"), e.alias("end"))
     empty = F.expr("cast(array() as array<struct<start:double,end:double>>)")
 
     def step(acc: Column, c: Column) -> Column:
         last = F.try_element_at(acc, F.lit(-1))
-        closes = last.isNull() | (c["start"] - last["end"] > GAP) | (c["end"] - last["start"] > SPAN)
+        closes = last.isNull() | (c["end"] - last["start"] > SPAN)
         return F.when(closes, F.concat(acc, F.array(segment(c["start"], c["end"])))).otherwise(
             F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(segment(last["start"], c["end"])))
         )
@@ -172,10 +165,43 @@ def _fold(cues: Column) -> Column:
     return F.aggregate(cues, empty, step)
 
 
+def _segments(spark, sf_dir) -> DataFrame:
+    """(user_id, start, end): a gap closes a segment whatever came before it, so cues are cut into islands at gaps and
+    only an island, which a pause of the speaker ends, is folded in one row."""
+    order = Window.partitionBy("user_id").orderBy("start", "event_id", "end")
+    opens = F.coalesce(F.col("start") - F.lag("end").over(order) > GAP, F.lit(True))
+    cues = _cues(spark, sf_dir).withColumn("opens", opens.cast("int")).withColumn("island", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    islands = cues.groupBy("user_id", "island").agg(F.array_sort(F.collect_list(F.struct("start", "event_id", "end"))).alias("cues"))
+    folded = islands.select("user_id", "island", F.posexplode(_fold(F.col("cues"))).alias("pos", "s"))
+    number = F.row_number().over(Window.partitionBy("user_id").orderBy("island", "pos")) - 1
+    return folded.select("user_id", number.cast("bigint").alias("segment"), "s.start", "s.end")
+
+
 def segments_greedy(spark, sf_dir):
-    item = F.struct("start", "event_id", "end")
-    users = _cues(spark, sf_dir).groupBy("user_id").agg(F.array_sort(F.collect_list(item)).alias("cues"))
-    return users.select("user_id", F.posexplode(_fold(F.col("cues"))).alias("pos", "s")).select("user_id", F.col("pos").cast("bigint").alias("segment"), "s.start", "s.end")
+    return _segments(spark, sf_dir)
+
+
+LEAST = 30_000.0
+
+
+def fold_short_segments(spark, sf_dir):
+    """Segments shorter than LEAST joined to the one before them, if both together are not too long."""
+    segment = lambda s, e: F.struct(s.alias("start"), e.alias("end"))
+    empty = F.expr("cast(array() as array<struct<start:double,end:double>>)")
+
+    def step(acc: Column, c: Column) -> Column:
+        last = F.try_element_at(acc, F.lit(-1))
+        joins = (c["end"] - c["start"] < LEAST) & last.isNotNull() & (c["end"] - last["start"] <= SPAN)
+        return F.when(joins, F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(segment(last["start"], c["end"])))).otherwise(F.concat(acc, F.array(segment(c["start"], c["end"]))))
+
+    listed = _segments(spark, sf_dir).groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("segment", "start", "end"))).alias("s"))
+    return listed.select("user_id", F.posexplode(F.aggregate("s", empty, step)).alias("pos", "s")).select("user_id", F.col("pos").cast("bigint").alias("segment"), "s.start", "s.end")
+
+
+def segment_ids(spark, sf_dir):
+    """Segments with ids by their number; those that are too short are left out after numbering, so numbers have gaps."""
+    rows = _segments(spark, sf_dir).where(F.col("end") - F.col("start") >= LEAST)
+    return rows.select(F.format_string("%d_seg%04d", "user_id", "segment").alias("id"), "start", "end")
 
 
 def cue_overlap_join(spark, sf_dir):
@@ -227,11 +253,16 @@ QUERIES = {
     f.__name__: f
     for f in (
         category_tree, manifest_stats, top_values, system_means, placeholders, run_counters, usage_cost, success_rates, failed_ids, consensus_rounds, last_state, metric_correlation, version_index,
-        explode_levels, position_ids, distractors_tiered, choice_order, count_questions, segments_greedy, cue_overlap_join, mqm_score, numeric_answer,
+        explode_levels, position_ids, distractors_tiered, choice_order, count_questions, segments_greedy, fold_short_segments, segment_ids, cue_overlap_join, mqm_score, numeric_answer,
     )
 }
 
 _CUES = "(select user_id, event_id, event_type, floor(epoch(ts))::double as start, (floor(epoch(ts)) + floor(value))::double as \"end\" from events)"
+_SEGMENTS = f"""c as (select *, row_number() over (partition by user_id order by start, event_id, "end") rn from {_CUES}),
+w as (select user_id, rn, start, "end", 0::bigint segment from c where rn = 1 union all
+select c.user_id, c.rn, case when c.start - w."end" > {GAP} or c."end" - w.start > {SPAN} then c.start else w.start end, c."end", case when c.start - w."end" > {GAP} or c."end" - w.start > {SPAN} then w.segment + 1 else w.segment end
+from w join c on c.user_id = w.user_id and c.rn = w.rn + 1),
+s as (select user_id, segment, min(start) as start, arg_max("end", rn) as "end" from w group by 1, 2)"""
 _SIZE = "list_sum(list_transform(map_values({c}), lambda x: coalesce(length(x), 0)))"
 _ANS = "(values " + ",".join(f"({i}, '" + a.replace("'", "''").replace("\n", "' || chr(10) || '") + "')" for i, a in enumerate(ANSWERS)) + ") a(answer_id, answer)"
 SQL = {
@@ -258,18 +289,19 @@ from (select distinct * from draft_votes)""",
     "version_index": "select day, rows, row_number() over (order by day) as version from (select updated_at::date::varchar as day, count(*) as rows from samples where updated_at is not null group by 1)",
     "explode_levels": "select p_partkey || '__L' || l id, l::bigint as level from (select p_partkey, unnest(range(1, p_size % 3 + 2)) l from part)",
     "position_ids": "select format('unit-{:04d}-w{}', sample_index, pos - 1) id, field from (select sample_index, k[pos] field, pos from (select sample_index, list_sort(map_keys(fields)) k, unnest(range(1, len(map_keys(fields)) + 1)) pos from translation_units)) where field <> 'question'",
-    "distractors_tiered": f"""with e as (select distinct p_type, p_brand, p_size from part), tb as (select distinct p_type t, p_brand b from part), bs as (select distinct b from tb),
-c as (select e.*, b, 0 tier from e join tb on t = p_type where b <> p_brand union all select e.*, b, 1 from e join bs on b <> p_brand), m as (select p_type, p_brand, p_size, b, min(tier) tier from c group by all)
-select p_type, p_brand, p_size, b, rank from (select *, row_number() over (partition by p_type, p_brand, p_size order by tier, md5(concat_ws('|', '{SEED}', p_size, p_type, p_brand, b))) rank from m) where rank <= 3""",
+    "distractors_tiered": f"""with d as (select distinct p_type g, p_brand w, md5('{SEED}|' || p_brand) k from part), n as (select g, list(w order by k, w) l from (select *, row_number() over (partition by g order by k, w) r from d) where r <= 8 group by 1),
+f as (select list(w order by k, w) l from (select distinct w, k from d order by k, w limit 8)), c as (select p_partkey, list_filter(list_concat(n.l, f.l), lambda w: w <> p_brand) s from part join n on n.g = p_type cross join f),
+u as (select p_partkey, list_filter(s, lambda w, i: list_position(s, w) = i)[1:3] q from c) select p_partkey, unnest(q) b, unnest([1, 2, 3])::bigint as rank from u where len(q) = 3""",
     "choice_order": f"""with r as (select distinct p_partkey, c from (select p_partkey, unnest([p_brand, p_type, p_name]) c from part))
 select p_partkey, string_agg(c, ' | ' order by md5(concat_ws('|', '{SEED}', p_partkey, c)), c) choices from r group by 1""",
     "count_questions": """with n as (select sample_id, count(distinct annotator_id) n from draft_votes where trim(label) <> '' group by 1)
 select sample_id, n, array_to_string(list_filter([1,2,3,4,5], lambda x: x <> n), ' ') others from n where n >= 2""",
-    "segments_greedy": f"""with recursive c as (select *, row_number() over (partition by user_id order by start, event_id, "end") rn from {_CUES}),
-w as (select user_id, rn, start, "end", 0::bigint segment from c where rn = 1 union all
-select c.user_id, c.rn, case when c.start - w."end" > {GAP} or c."end" - w.start > {SPAN} then c.start else w.start end, c."end", case when c.start - w."end" > {GAP} or c."end" - w.start > {SPAN} then w.segment + 1 else w.segment end
-from w join c on c.user_id = w.user_id and c.rn = w.rn + 1)
-select user_id, segment, min(start) as start, arg_max("end", rn) as "end" from w group by 1, 2""",
+    "segments_greedy": f"with recursive {_SEGMENTS} select user_id, segment, start, \"end\" from s",
+    "fold_short_segments": f"""with recursive {_SEGMENTS},
+m as (select user_id, segment, 0::bigint g, start, "end" from s where segment = 0 union all
+select s.user_id, s.segment, case when s."end" - s.start < {LEAST} and s."end" - m.start <= {SPAN} then m.g else m.g + 1 end, case when s."end" - s.start < {LEAST} and s."end" - m.start <= {SPAN} then m.start else s.start end, s."end"
+from m join s on s.user_id = m.user_id and s.segment = m.segment + 1) select user_id, g segment, min(start) as start, arg_max("end", segment) as "end" from m group by 1, 2""",
+    "segment_ids": f"""with recursive {_SEGMENTS} select format('{{}}_seg{{:04d}}', user_id, segment) id, start, "end" from s where "end" - start >= {LEAST}""",
     "cue_overlap_join": f"""select distinct a.event_id view_id, b.event_id purchase_id from {_CUES} a join {_CUES} b on a.user_id = b.user_id and a.start < b."end" and a."end" > b.start where a.event_type = 'view' and b.event_type = 'purchase'""",
     "mqm_score": f"""with l as (select answer_id, pos, trim(ls[pos]) line from (select answer_id, ls, unnest(range(1, len(ls) + 1)) pos from (select answer_id, string_split(lower(answer), chr(10)) ls from {_ANS}))),
 v as (select *, last_value(case when line in ('critical:','major:','minor:') then replace(line,':','') end ignore nulls) over (partition by answer_id order by pos) lev from l),

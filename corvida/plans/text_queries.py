@@ -55,7 +55,9 @@ _UNITS_SQL = """(select u.sample_index, u.field, u.source, r.target from
 
 
 def vi_text_heuristic(spark, sf_dir):
-    return _translated(spark, sf_dir).select("sample_index", "field", T.looks_vietnamese(F.col("target")).alias("vietnamese")).distinct()
+    """Transcripts that look Vietnamese; the detector is the voter's own label."""
+    rows = table(spark, sf_dir, "asr_results").where("text is not null")
+    return rows.select("result_id", T.looks_vietnamese(F.col("text"), detected=F.col("detected_language")).alias("vietnamese")).distinct()
 
 
 def length_plausibility(spark, sf_dir):
@@ -222,7 +224,9 @@ SQL = {
 g as (select doc_id, ws[i] || ' ' || ws[i+1] as run from (select doc_id, ws, unnest(range(1, len(ws))) i from w where len(ws) >= 4)),
 c as (select doc_id, max(n) best from (select doc_id, run, count(*) n from g group by all) group by 1)
 select w.doc_id, round(case when len(ws) < 4 then 0.0 else best * 2.0 / len(ws) end, 6) ratio from w left join c using (doc_id)""",
-    "vi_text_heuristic": f"select distinct sample_index, field, {looks_sql('target')} vietnamese from {_UNITS_SQL}",
+    "vi_text_heuristic": f"""select distinct result_id, case when coalesce(trim(text) = '', true) then true when m >= (case when n <= 6 then 1 else 0.15 * n end) then true
+when coalesce(trim(detected_language) = '', true) then m > 0 else lower(trim(detected_language)) like 'vi%' end vietnamese from
+(select *, len({raw_words_sql('text')}) n, len(list_filter({raw_words_sql('text')}, lambda w: {_VI})) m from asr_results where text is not null)""",
     "length_plausibility": f"select distinct sample_index, field, {length_sql('source', 'target')} plausible from {_UNITS_SQL}",
     "term_list_shape": f"select distinct sample_index, field, {terms_sql('target')} term_list from {_UNITS_SQL}",
     "validate_units": f"""select r.sample_index, r.ok, coalesce({', '.join(map(_why_sql, FIELD_ORDER))}) reason
