@@ -1,10 +1,12 @@
 """Language by rank-order profiles: n-grams of a text against each language's most frequent ones, by out-of-place distance.
 
-A profile ranks the most frequent character n-grams (1 to 4, with word boundaries) of a language. The distance of a
-text to a language is the sum, over the text's n-grams, of how far their ranks lie apart, or a maximum where the
-profile lacks the n-gram. In a sentence nearly all n-grams occur once; tied n-grams share the first rank, so that the
-distance is a sum over words, which is what lets a text be divided: the languages of neighbouring words are the path
-of least distance with a price on each change (Viterbi). Han, kana and Hangul are told by script.
+A profile ranks the most frequent character n-grams (1 to 4, with word boundaries) of a language. A stretch's own
+n-grams are ranked by how often they occur, tied ones sharing a rank; its distance to a language is the sum, over them,
+of how far the two ranks lie apart, or a maximum where the profile lacks the n-gram. The least distance names the
+language, and how much farther the next one lies is the confidence. A text is divided into stretches first: in one word
+nearly all n-grams occur once and share the first rank, so that the distance is a sum over words, and the languages of
+neighbouring words are the path of least distance with a price on each change (Viterbi). Han, kana and Hangul are told
+by script.
 
 Profiles are fitted on a bounded sample of labelled documents, about SAMPLE_PER_LANGUAGE of each language, read whole.
 """
@@ -16,6 +18,7 @@ from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame, Window
@@ -31,6 +34,7 @@ SCRIPT_LANGUAGES = ("ja", "ko", "zh")
 UNMARKED = "vi-unmarked"
 
 _TOKEN = regex.compile(r"(?P<cjk>[\p{Han}\p{Hiragana}\p{Katakana}\p{Hangul}ー々〆]+)|(?P<word>\p{Latin}[\p{Latin}\p{M}]*(?:['’]\p{Latin}+)*)|(?P<stop>[.?!…。？！]+(?=\s|$|[\p{Han}\p{Hiragana}\p{Katakana}\p{Hangul}])|\n|[。？！])")
+_CLUSTER = regex.compile(r"[\s\S]\u200b*(?:\p{M}\u200b*)*")
 _KANA, _HANGUL = regex.compile(r"[\p{Hiragana}\p{Katakana}]"), regex.compile(r"\p{Hangul}")
 
 
@@ -40,6 +44,20 @@ def grams(word: str) -> list[str]:
     return found + list(word)
 
 
+def _lowered(text: str) -> tuple[str, list[tuple[int, int]] | None]:
+    """The composed text in lower case without zero-width spaces, and for each of its characters the place in the stored
+    text that it comes from; None where the places are the same."""
+    lowered = text.lower()
+    if len(lowered) == len(text) and "\u200b" not in text and unicodedata.is_normalized("NFC", lowered):
+        return lowered, None
+    out, places = [], []
+    for m in _CLUSTER.finditer(text):
+        piece = unicodedata.normalize("NFC", m[0].replace("\u200b", "").lower())
+        out.append(piece)
+        places += [m.span()] * len(piece)
+    return "".join(out), places
+
+
 def _counts(batches):
     counts: Counter = Counter()
     for batch in batches:
@@ -87,6 +105,8 @@ class Identifier:
     CHANGE, CHANGE_AT_STOP = 7.0, 3.5
     #: Words of a stretch at least; one at the edge of a text or between stops may be shorter.
     LEAST_WORDS, LEAST_SENTENCE, LEAST_CJK = 5, 3, 4
+    #: Share by which another language must be nearer to a stretch than the one of its words.
+    CLOSE = 0.05
 
     def __init__(self, profiles: dict[str, dict[str, int]], expected: str = "vi"):
         self.names = sorted(profiles)
@@ -100,6 +120,9 @@ class Identifier:
         self.expected = expected
         self.own = [i for i, lang in enumerate(self.langs) if lang == expected]
         self.cost = lru_cache(maxsize=500_000)(self._cost)
+        self.number = {g: i for i, g in enumerate(self.ranks)}
+        self.table = np.array([*self.ranks.values(), self.nothing], dtype=np.int32).reshape(len(self.ranks) + 1, -1)
+        self.numbers = lru_cache(maxsize=200_000)(self._numbers)
 
     def _cost(self, word: str) -> tuple[float, ...]:
         """Out-of-place distance of a word to each profile, in units of the maximum."""
@@ -113,10 +136,7 @@ class Identifier:
         """The stretches of one language each, in order; short ones of another language belong to their neighbours."""
         if not text:
             return []
-        text = unicodedata.normalize("NFC", text.replace("\u200b", ""))
-        lowered = text.lower()
-        if len(lowered) != len(text):
-            text = lowered
+        lowered, places = _lowered(text)
         tokens: list[tuple[str, str, int, int, bool]] = []  # kind, word, start, end, after a stop
         stop = True
         for m in _TOKEN.finditer(lowered):
@@ -125,7 +145,8 @@ class Identifier:
                 stop = True
                 continue
             word = m[0]
-            tokens.append((kind, word, m.start(), m.end(), stop))
+            start, end = m.span()
+            tokens.append((kind, word, places[start][0], places[end - 1][1], stop) if places else (kind, word, start, end, stop))
             stop = False
         if not tokens:
             return []
@@ -201,16 +222,32 @@ class Identifier:
                 else:
                     merged.append([lang, run])
             groups = merged
-        return [Stretch(run[0][2], run[-1][3], lang, self._confidence(lang, run), len(run), sum(t[4] for t in run)) for lang, run in groups]
+        return [Stretch(run[0][2], run[-1][3], *self._named(lang, run), len(run), sum(t[4] for t in run)) for lang, run in groups]
+
+    def _numbers(self, word: str) -> np.ndarray:
+        return np.array([self.number.get(g, len(self.number)) for g in grams(word)], dtype=np.int32)
+
+    def distances(self, words: list[str]) -> np.ndarray:
+        """The out-of-place distance of the words' ranked n-grams to each profile; n-grams of no profile lack in all."""
+        numbers = np.concatenate([self.numbers(w) for w in words])
+        found, counts = np.unique(numbers, return_counts=True)
+        own = np.minimum(len(counts) - np.searchsorted(np.sort(counts), counts, side="right"), self.size)
+        ranks = self.table[found]
+        return np.where(ranks >= self.size, self.size, np.abs(ranks - own[:, None])).sum(axis=0)
+
+    def _named(self, lang: str, run) -> tuple[str, float]:
+        """The stretch's language and how much nearer it is than the next one; by script alone it is sure.
 
-    def _confidence(self, lang: str, run) -> float:
-        """How much nearer the stretch is to its language than to the next one; by script alone it is sure."""
+        The profiles decide between languages of the Latin script; where two lie less than CLOSE apart the division holds.
+        """
         if lang in SCRIPT_LANGUAGES or not self.names:
-            return 1.0
-        total = [0.0] * len(self.names)
-        for t in run:
-            if t[0] == "word":
-                total = [a + b for a, b in zip(total, self.cost(t[1]))]
-        mine = min((v for v, name in zip(total, self.langs) if name == lang), default=0.0)
-        other = min((v for v, name in zip(total, self.langs) if name != lang), default=1.0)
-        return round(max(0.0, min(1.0, 1 - mine / other if other else 0.0)), 4)
+            return lang, 1.0
+        total = self.distances([t[1] for t in run if t[0] == "word"]).tolist()
+        best: dict[str, int] = {}
+        for d, name in zip(total, self.langs):
+            best[name] = min(d, best.get(name, d))
+        nearest = min(best, key=best.__getitem__)
+        if lang not in best or best[nearest] < best[lang] * (1 - self.CLOSE):
+            lang = nearest
+        other = min((d for name, d in best.items() if name != lang), default=0)
+        return lang, round(max(0.0, min(1.0, 1 - best[lang] / other if other else 0.0)), 4)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import unicodedata
 
 import numpy as np
 import pytest
@@ -46,6 +47,15 @@ def test_refusals_placeholders_and_copies():
     assert tiles(words, words[2:6] + ["x"]) == (4, 4) and not copies([], words)
 
 
+def test_long_refusals_and_greedy_tiling():
+    courtesies = " Thank you for your patience. Please send another one. I would be glad to look at it. Have a nice day. " * 4
+    assert is_refusal("Hello. Good day to you. I'm sorry, but I cannot translate this text." + courtesies)
+    assert tiles("a b c d e f g h".split(), "e f g h a b c x".split()) == (7, 7)
+    # the longest match is marked first, though another one begins before it
+    assert tiles("b c d e f g a b c".split(), "a b c d e f g".split(), 3) == (6, 6)
+    assert tiles("a b c".split(), "a b c a b c a b".split()) == (3, 6) and tiles([], ["a"]) == (0, 0)
+
+
 def test_pushdown_parser_finds_what_stays_open():
     assert left_open("a (b [c] d") == ["("]
     assert left_open("```python\nx = (1\n```") == []
@@ -170,6 +180,30 @@ def test_a_short_foreign_sentence_in_a_long_text_is_found(spark):
         assert [s.lang for s in identifier.stretches(text.format(sentence))] == ["vi", "en", "vi"], sentence
 
 
+def test_places_of_stretches_are_those_of_the_stored_text(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang", "text")
+    identifier = langid.Identifier(langid.fit_profiles(docs))
+    vi, en = "bà hàng xóm khóa chặt chiếc đèn dầu ở bến xe khách.", "the night guard stored the oil lamp behind the banana garden."
+    for text in (f"{vi} {en}", unicodedata.normalize("NFD", f"{vi} {en}"), f"\u200b{vi[:9]}\u200b{vi[9:]} {en}", f"{vi.upper()} {en}"):
+        found = identifier.stretches(text)
+        assert [s.lang for s in found] == ["vi", "en"] and text[found[1].start : found[1].end] == en[:-1]
+        assert text[found[0].start : found[0].end].rstrip(".").endswith(text[text.index(en) - 3 : text.index(en) - 2])
+
+
+def test_out_of_place_distance_ranks_the_n_grams_of_a_stretch():
+    identifier = langid.Identifier({"vi": {"_a": 0, "a": 1, "b": 2}, "en": {"b": 0, "_a": 1}})
+    # a occurs three times (rank 0), _a twice (rank 1), b once; what no profile has counts the maximum for both
+    grams = [g for w in ("a", "a", "ba") for g in langid.grams(w)]
+    unknown = len({g for g in grams if g not in ("_a", "a", "b")} and {len(identifier.number)})
+    distances = identifier.distances(["a", "a", "ba"]).tolist()
+    known = {g: grams.count(g) for g in ("_a", "a", "b")}
+    rest = sum(g not in known for g in grams)
+    ranks = {n: i for i, n in reversed(list(enumerate(sorted([*known.values(), rest], reverse=True))))}
+    size = identifier.size
+    brute = [sum(min(size, abs(p[g] - min(size, ranks[n]))) if g in p else size for g, n in known.items()) + size * unknown for p in ({"b": 0, "_a": 1}, {"_a": 0, "a": 1, "b": 2})]
+    assert distances == brute
+
+
 # 5
 def test_one_form_is_a_fixed_point_and_keeps_real_words():
     compile_mapping()
