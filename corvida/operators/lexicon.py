@@ -70,12 +70,15 @@ def occurring(corpus: DataFrame, lexicon: DataFrame, word: str) -> DataFrame:
     return lexicon.join(found, word, "left_semi")
 
 
-def annotated(corpus: DataFrame, lexicon: DataFrame, word: str, metadata: tuple[str, ...] = ()) -> DataFrame:
-    """Texts that hold an entry, with `entries`: their words and metadata, longest first, then in lexicon order (_pos)."""
-    found = matches(corpus, lexicon, word)
+def annotated(corpus: DataFrame, lexicon: DataFrame, word: str, metadata: tuple[str, ...] = (), key: str = "doc_id") -> DataFrame:
+    """Texts that hold an entry, with `entries`: their words and metadata, longest first, then in lexicon order (_pos).
+
+    Matches are gathered by the corpus's key, and the texts come back by a join on it, so that no text is a group's key.
+    """
+    found = matches(corpus.select(key, "text"), lexicon, word)
     item = F.struct((-F.length("entry")).alias("rank"), F.col("_pos"), F.col(word), *metadata)
-    keys = corpus.columns
-    return found.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("entries"))
+    gathered = found.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("entries"))
+    return corpus.join(gathered, key)
 
 
 def coverage(corpus: DataFrame, lexicon: DataFrame, word: str, source: str = "source") -> DataFrame:

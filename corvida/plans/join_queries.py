@@ -26,12 +26,11 @@ def first_last_wins(spark, sf_dir):
 
 
 def exact_text_join(spark, sf_dir):
-    """Documents and eval passages with the same text up to case and white space; the first of equal passages counts."""
+    """Reviewed texts and voters' answers that are the same up to case and white space; the first of equal answers counts."""
     key = lambda c: F.trim(F.regexp_replace(F.lower(c), r"\s+", " "))
-    answers = table(spark, sf_dir, "eval_items").select("item_id", key("answer").alias("k"))
-    firsts = O.wins(answers, ["k"], ["item_id"], last=False)
+    firsts = O.wins(table(spark, sf_dir, "asr_results").where("text is not null").select("result_id", key("text").alias("k")), ["k"], ["result_id"], last=False)
     found = table(spark, sf_dir, "samples").where("final_asr_text is not null").select("id", key("final_asr_text").alias("k")).distinct()
-    return found.join(firsts, "k").select(F.format_string("cs-vi-%05d", "item_id").alias("key"), "id", "item_id")
+    return found.join(firsts, "k").select(F.format_string("cs-vi-%05d", "result_id").alias("key"), "id", "result_id")
 
 
 def fill_fields(spark, sf_dir):
@@ -108,7 +107,7 @@ def audio_listing(spark, sf_dir):
 def voter_gather(spark, sf_dir):
     """The voters of each recording in fixed order with their weight; a recording's array has a row for each voter."""
     order = F.when(F.col("model_name") == "chirp3", 0).when(F.col("model_name") == "internal_whisper", 1).otherwise(2)
-    rows = table(spark, sf_dir, "asr_results").where("error is null and audio_relpath not like 'khoi_dong/%'")
+    rows = table(spark, sf_dir, "asr_results").where("error is null")
     best = rows.groupBy("audio_relpath", "model_name").agg(F.max(F.struct(F.coalesce("confidence", F.lit(0.5)).alias("c"), "result_id")).alias("m"))
     item = F.struct(order.alias("o"), "model_name", F.col("m.c").alias("c"))
     listed = best.groupBy("audio_relpath").agg(F.array_sort(F.collect_list(item)).alias("v"))
@@ -195,9 +194,9 @@ _FINAL = f"(select * from {_PRE} where question is not null and len(choices) = 4
 SQL = {
     "first_last_wins": """select sample_id, annotator_id, arg_min(label, (voted_at, vote_id)) first_label, arg_max(label, (voted_at, vote_id)) last_label from draft_votes
 where label is not null group by 1, 2""",
-    "exact_text_join": r"""with a as (select min(item_id) item_id, trim(regexp_replace(lower(answer),'\s+',' ','g')) k from eval_items group by 2),
+    "exact_text_join": r"""with a as (select min(result_id) result_id, trim(regexp_replace(lower(text),'\s+',' ','g')) k from asr_results where text is not null group by 2),
 s as (select distinct id, trim(regexp_replace(lower(final_asr_text),'\s+',' ','g')) k from samples where final_asr_text is not null)
-select format('cs-vi-{:05d}', item_id) as key, id, item_id from s join a using (k)""",
+select format('cs-vi-{:05d}', result_id) as key, id, result_id from s join a using (k)""",
     "fill_fields": """with r as (select sample_index, arg_max(struct_pack(m := mode, e := error), finished_at) x from translation_results group by 1)
 select u.sample_index, u.dataset, case when r.sample_index is not null then x.m else 'none' end mode, case when r.sample_index is not null then x.e else 'none' end error
 from translation_units u left join r on u.sample_index = r.sample_index""",
@@ -223,7 +222,7 @@ select distinct id sample_id, (case m when 0 then 3 when 1 then 2 else 1 end)::b
     "audio_listing": """with s as (select distinct replace(id,'::','/') path from samples), r as (select distinct audio_relpath path from asr_results)
 select path, 'no sample' missing from r where path not in (select path from s) union all select path, 'no answer' from s where path not in (select path from r)""",
     "voter_gather": """with b as (select audio_relpath, model_name, case model_name when 'chirp3' then 0 when 'internal_whisper' then 1 else 2 end o, max(coalesce(confidence, 0.5)) c from asr_results
-where error is null and audio_relpath not like 'khoi_dong/%' group by all) select audio_relpath, string_agg(model_name, ' ' order by o) voters, round(sum(c), 6) weight from b group by 1""",
+where error is null group by all) select audio_relpath, string_agg(model_name, ' ' order by o) voters, round(sum(c), 6) weight from b group by 1""",
     "cache_or_call": """with s as (select distinct replace(id,'::','/') audio_relpath from samples), w as (select audio_relpath, unnest(['chirp3','internal_whisper','phowhisper']) model_name from s)
 select * from w where (audio_relpath, model_name) not in (select (audio_relpath, model_name) from asr_results where error is null and text is not null)""",
     "draft_precedence": f"""select id, case when final_asr_text is not null then 'final_asr_text' when asr_rover is not null then 'asr_rover' when asr_internal is not null then 'asr_internal'

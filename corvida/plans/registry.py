@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES: tuple[str, ...] = ("text_queries", "lexicon_queries", "join_queries", "report_queries", "rover_queries", "score_queries", "corpus_queries", "generation_queries")
+MODULES: tuple[str, ...] = ("text_queries", "lexicon_queries", "join_queries", "report_queries", "rover_queries", "score_queries", "corpus_queries", "generation_queries", "validation_queries")
 
 
 def _merged(attribute: str) -> dict:

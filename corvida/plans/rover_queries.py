@@ -17,7 +17,7 @@ VOTERS = (("chirp3", 1.0), ("internal_whisper", 1.15), ("phowhisper", 1.0))
 
 def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last successful answer of each voter for each recording; failed ones are left out, empty texts are not."""
-    rows = table(spark, sf_dir, "asr_results").where("error is null and text is not null and audio_relpath not like 'khoi_dong/%'")
+    rows = table(spark, sf_dir, "asr_results").where("error is null and text is not null")
     return wins(rows.select("audio_relpath", "model_name", "text", "confidence", "loaded_at", "result_id"), ["audio_relpath", "model_name"], ["loaded_at", "result_id"])
 
 
@@ -48,7 +48,7 @@ def rover_single_voter(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (rover_weights, rover_align, rover_single_voter)}
-_ANSWERS = """(select * from asr_results where error is null and text is not null and audio_relpath not like 'khoi_dong/%'
+_ANSWERS = """(select * from asr_results where error is null and text is not null
 qualify row_number() over (partition by audio_relpath, model_name order by loaded_at desc nulls last, result_id desc) = 1)"""
 SQL = {
     "rover_weights": f"""select audio_relpath, model_name, round(coalesce(confidence, 0.5) * case when model_name = 'internal_whisper' then 1.15 else 1.0 end, 6) weight, md5({norm_sql('text')}) digest from {_ANSWERS}""",

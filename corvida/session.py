@@ -29,10 +29,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage in the shared folder named by spark.checkpoint.dir, so that a lost executor loses nothing.
 
-    A folder of our own is set only where the session names none, as in tests.
+    A folder of our own is set only in a local session that names none, as in tests; a cluster must name a shared one.
     """
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured and not spark.sparkContext.master.startswith(("local[", "local*")) and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(configured or tempfile.mkdtemp(prefix="corvida-checkpoint-"))
     return df.checkpoint(eager=True)
