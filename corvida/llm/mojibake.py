@@ -168,7 +168,7 @@ def _replace(text: str, spans) -> str:
 
 
 def _repair_utf8(text: str, state: Repair) -> str:
-    for _ in range(4):  # each round undoes one wrong reading; the rounds end when none is found
+    while True:  # each round undoes one wrong reading and shortens the text; the rounds end when none is found
         best: list = []
         best_page = ""
         for page in SINGLE_BYTE_PAGES:
