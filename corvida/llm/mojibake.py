@@ -127,7 +127,9 @@ def _word_spans(word: str, page: str) -> tuple[tuple[int, int, str, bool], ...]:
             decoded = m[0].encode("latin-1").decode("utf-8")
         except UnicodeDecodeError:
             continue
-        if not any("\x80" <= c <= "\x9f" for c in decoded) and not _PLAUSIBLE.fullmatch(decoded):
+        # signs of the page that take three bytes may be the reading of a reading
+        rest = "".join(c for c in decoded if c < "\u0800" or ord(c) not in _to_bytes(page))
+        if rest and not any("\x80" <= c <= "\x9f" for c in decoded) and not _PLAUSIBLE.fullmatch(rest):
             continue
         wide = _WIDE.search(decoded) is not None
         if wide and len(decoded) < 2:

@@ -180,6 +180,17 @@ def test_a_short_foreign_sentence_in_a_long_text_is_found(spark):
         assert [s.lang for s in identifier.stretches(text.format(sentence))] == ["vi", "en", "vi"], sentence
 
 
+def test_readings_of_readings_are_undone():
+    for page, times in (("cp1252", 6), ("mac_roman", 2), ("cp437", 2)):
+        text = PLAIN
+        for _ in range(times):
+            try:
+                text = text.encode("utf-8").decode(page)
+            except UnicodeDecodeError:
+                text = text.encode("utf-8").decode("latin-1")
+            assert mojibake.repair(text).garbled and mojibake.repair(text).text == PLAIN, (page, text)
+
+
 def test_places_of_stretches_are_those_of_the_stored_text(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang", "text")
     identifier = langid.Identifier(langid.fit_profiles(docs))
