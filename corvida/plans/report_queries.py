@@ -241,12 +241,17 @@ def mqm_score(spark, sf_dir):
 NUMBERS = ("85", "score: 90", "['70']", "3 of 5", "none", "42/100", "0 or 100")
 
 
-def numeric_answer(spark, sf_dir):
+def number_of(answer: Column) -> Column:
     """The one number of an answer, or n of `n/100`; null when it is ambiguous or out of 0 to 100."""
-    rows = spark.createDataFrame([(a,) for a in NUMBERS], "answer string")
-    found = F.regexp_extract_all("answer", F.lit(r"(\d+)"), F.lit(1))
-    number = F.when(F.size(found) == 1, F.get(found, F.lit(0))).when(F.col("answer").rlike(r"^\d*/100$"), F.substring_index("answer", "/", 1)).cast("bigint")
-    return rows.select("answer", F.when(number.between(0, 100), number).alias("number"))
+    found = F.regexp_extract_all(answer, F.lit(r"(\d+)"), F.lit(1))
+    number = F.when(F.size(found) == 1, F.get(found, F.lit(0))).when(answer.rlike(r"^\d*/100$"), F.substring_index(answer, "/", 1)).try_cast("bigint")
+    return F.when(number.between(0, 100), number)
+
+
+def numeric_answer(spark, sf_dir):
+    """The numbers in the answers of the test items, and in examples of what scorers say."""
+    rows = spark.createDataFrame([(a,) for a in NUMBERS], "answer string").unionByName(table(spark, sf_dir, "eval_items").where("answer is not null").select("answer"))
+    return rows.select("answer", number_of(F.col("answer")).alias("number"))
 
 
 QUERIES = {
@@ -309,7 +314,7 @@ e as (select answer_id, pos, case when contains(line,'non-translation') then 25
 where regexp_matches(regexp_replace(line,'^[-*• ]+',''), '{_CATEGORY}') and not regexp_matches(line,'no-error|no error') and lev is not null),
 f as (select *, row_number() over (partition by answer_id order by w desc, pos) n from e), s as (select answer_id, -least(25, sum(w))::bigint score from f where n <= 5 group by 1)
 select a.answer_id, coalesce(score, 0) score from {_ANS} left join s on s.answer_id = a.answer_id""",
-    "numeric_answer": r"""with a as (select answer, regexp_extract_all(answer, '\d+') f from (values """ + ",".join("('" + a.replace("'", "''") + "')" for a in NUMBERS) + r""") v(answer)),
-n as (select answer, (case when len(f) = 1 then f[1] when regexp_matches(answer, '^\d*/100$') then split_part(answer,'/',1) end)::bigint as number from a)
-select answer, case when number between 0 and 100 then number end as number from n""",
+    "numeric_answer": r"""with a as (select answer, regexp_extract_all(answer, '\d+') f from (values """ + ",".join("('" + a.replace("'", "''") + "')" for a in NUMBERS) + r""") v(answer) union all select answer, regexp_extract_all(answer, '\d+') from eval_items where answer is not null),
+n as (select answer, (case when len(f) = 1 then f[1] when regexp_matches(answer, '^\d*/100$') then split_part(answer,'/',1) end) as n from a)
+select answer, case when try_cast(n as bigint) between 0 and 100 then try_cast(n as bigint) end as number from n""",
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 import difflib
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -24,37 +25,54 @@ ERROR_CLASSES = {
 }
 ERRORS = ("accuracy/omission - x", "fluency: grammar and spelling", "style", "locale convention (date or time)", "terminology - inconsistent use", "non-translation", "something else", "other", "nothing")
 VERDICTS = ("No meaning preserved", "some meaning preserved, but", "Perfect meaning and grammar", "most meaning preserved; some meaning preserved", "")
+# The classes of meaning, worst first.
 CLASSES = ("No meaning preserved", "Some meaning preserved", "Most meaning preserved", "Perfect meaning and grammar")
 STARS = ("five stars", "3 stars", "★★★★", "**", "one or two", "4", "six", "five stars (5)", "3 stars, not 4")
 
 
-def error_class(spark, sf_dir):
+def error_kind(error: Column) -> Column:
     """First class that the description names; of its subclasses the last one that it names."""
-    rows = spark.createDataFrame([(e,) for e in ERRORS], "error string")
     found = F.lit("unknown")
     for name, subs in reversed(ERROR_CLASSES.items()):
-        own = F.coalesce(*(F.when(F.col("error").contains(s), f"{name}-{s}") for s in reversed(subs)), F.lit(name))
-        found = F.when(F.col("error").contains(name), own).otherwise(found)
-    return rows.select("error", found.alias("kind"))
+        own = F.coalesce(*(F.when(error.contains(s), f"{name}-{s}") for s in reversed(subs)), F.lit(name))
+        found = F.when(error.contains(name), own).otherwise(found)
+    return found
 
 
-def class_answer(spark, sf_dir):
+def named_class(answer: Column) -> Column:
     """Index of the only class that an answer names; null for none or several."""
-    rows = spark.createDataFrame([(v,) for v in VERDICTS], "answer string")
-    named = F.array_compact(F.array(*(F.when(F.lower("answer").contains(c.lower()), i) for i, c in enumerate(CLASSES))))
-    return rows.select("answer", F.when(F.size(named) == 1, F.get(named, F.lit(0))).cast("bigint").alias("class"))
+    named = F.array_compact(F.array(*(F.when(F.lower(answer).contains(c.lower()), i) for i, c in enumerate(CLASSES))))
+    return F.when(F.size(named) == 1, F.get(named, F.lit(0))).cast("bigint")
 
 
-def star_answer(spark, sf_dir):
+def stars(answer: Column) -> Column:
     """Stars of an answer: all evidence in it must name one value of 1 to 5."""
-    rows = spark.createDataFrame([(s,) for s in STARS], "answer string")
-    text = F.concat(F.lit(" "), F.lower("answer"), F.lit(" "))
-    count = lambda sign: F.when(F.lower("answer").contains(sign), F.length("answer") - F.length(F.replace(F.col("answer"), F.lit(sign), F.lit(""))))
+    text = F.concat(F.lit(" "), F.lower(answer), F.lit(" "))
+    count = lambda sign: F.when(answer.contains(sign), F.length(answer) - F.length(F.replace(answer, F.lit(sign), F.lit(""))))
     named = [F.when(text.contains(f" {w} ") | text.contains(f"{i} star"), i) for i, w in enumerate(("one", "two", "three", "four", "five"), 1)]
-    digits = F.regexp_extract_all("answer", F.lit(r"(\d+)"), F.lit(1))
-    number = F.when(F.size(digits) == 1, F.get(digits, F.lit(0)).cast("int"))
+    digits = F.regexp_extract_all(answer, F.lit(r"(\d+)"), F.lit(1))
+    number = F.when(F.size(digits) == 1, F.get(digits, F.lit(0)).try_cast("int"))
     found = F.array_distinct(F.array_compact(F.array(count("*"), count("★"), *named, number)))
-    return rows.select("answer", F.when((F.size(found) == 1) & F.get(found, F.lit(0)).between(1, 5), F.get(found, F.lit(0))).cast("bigint").alias("stars"))
+    return F.when((F.size(found) == 1) & F.get(found, F.lit(0)).between(1, 5), F.get(found, F.lit(0))).cast("bigint")
+
+
+def _answers(spark, sf_dir, examples: tuple[str, ...]):
+    """The answers of the test items, and examples of what scorers say."""
+    return spark.createDataFrame([(e,) for e in examples], "answer string").unionByName(table(spark, sf_dir, "eval_items").where("answer is not null").select("answer"))
+
+
+def error_class(spark, sf_dir):
+    examples = spark.createDataFrame([(e,) for e in ERRORS], "error string")
+    rows = examples.unionByName(table(spark, sf_dir, "asr_results").where("error is not null").select(F.lower("error").alias("error")))
+    return rows.select("error", error_kind(F.col("error")).alias("kind"))
+
+
+def class_answer(spark, sf_dir):
+    return _answers(spark, sf_dir, VERDICTS).select("answer", named_class(F.col("answer")).alias("class"))
+
+
+def star_answer(spark, sf_dir):
+    return _answers(spark, sf_dir, STARS).select("answer", stars(F.col("answer")).alias("stars"))
 
 
 def lid_keep(spark, sf_dir):
@@ -104,6 +122,10 @@ def _values(rows: tuple[str, ...], column: str) -> str:
     return "(values " + ",".join("('" + r.replace("'", "''") + "')" for r in rows) + f") v({column})"
 
 
+def _answers_sql(examples: tuple[str, ...]) -> str:
+    return f"(select answer from {_values(examples, 'answer')} union all select answer from eval_items where answer is not null)"
+
+
 def _class_sql() -> str:
     cases = ""
     for name, subs in ERROR_CLASSES.items():
@@ -116,12 +138,12 @@ _NAMED = "list_filter([" + ",".join(f"case when contains(lower(answer), '{c.lowe
 _STAR = (
     "list_distinct(list_filter([case when contains(answer,'*') then length(answer) - length(replace(answer,'*','')) end, case when contains(answer,'★') then length(answer) - length(replace(answer,'★','')) end, "
     + ", ".join(f"case when contains(t, ' {w} ') or contains(t, '{i} star') then {i} end" for i, w in enumerate(("one", "two", "three", "four", "five"), 1))
-    + r", case when len(regexp_extract_all(answer, '\d+')) = 1 then regexp_extract(answer, '\d+')::int end], lambda x: x is not null))"
+    + r", case when len(regexp_extract_all(answer, '\d+')) = 1 then try_cast(regexp_extract(answer, '\d+') as int) end], lambda x: x is not null))"
 )
 SQL = {
-    "error_class": f"select error, {_class_sql()} kind from {_values(ERRORS, 'error')}",
-    "class_answer": f"select answer, (case when len({_NAMED}) = 1 then {_NAMED}[1] end)::bigint as class from {_values(VERDICTS, 'answer')}",
-    "star_answer": f"with s as (select answer, ' ' || lower(answer) || ' ' t from {_values(STARS, 'answer')}), f as (select answer, {_STAR} f from s) select answer, (case when len(f) = 1 and f[1] between 1 and 5 then f[1] end)::bigint stars from f",
+    "error_class": f"select error, {_class_sql()} kind from (select error from {_values(ERRORS, 'error')} union all select lower(error) from asr_results where error is not null)",
+    "class_answer": f"select answer, (case when len({_NAMED}) = 1 then {_NAMED}[1] end)::bigint as class from {_answers_sql(VERDICTS)}",
+    "star_answer": f"with s as (select answer, ' ' || lower(answer) || ' ' t from {_answers_sql(STARS)}), f as (select answer, {_STAR} f from s) select answer, (case when len(f) = 1 and f[1] between 1 and 5 then f[1] end)::bigint stars from f",
     "lid_keep": "select audio_relpath, bool_or(coalesce(lower(trim(detected_language)) like 'vi%' and coalesce(confidence, 1.0) >= 0.15, false) or error is not null) keep from asr_results group by 1",
     "lid_chunks": "select id, len(list_filter(range(0, floor(duration_sec / 30)::int + 1), lambda i: duration_sec - i * 30 >= 1 or i = 0))::bigint windows from (select distinct id, duration_sec from samples where duration_sec > 0)",
     "cue_padded_join": f"""select distinct a.event_id error_id, b.event_id signup_id from {_CUES} a join {_CUES} b on a.user_id = b.user_id and b.start < a."end" + 45 and b."end" > a.start - 45

@@ -241,6 +241,11 @@ select distinct id, round(chars, 6) chars, round(words, 6) words, chars between
     "rhyme": f"""with v as (select w word, string_split(w,' ') p from (values {",".join(f"('{w}')" for w in REDUPLICATIONS)}) t(w)),
 r as (select word, p, regexp_extract({_BARE_SQL.format(c='p[1]')}, '([{T.PLAIN_VOWELS}].*)$', 1) a, regexp_extract({_BARE_SQL.format(c='p[2]')}, '([{T.PLAIN_VOWELS}].*)$', 1) b from v)
 select word, case when len(p) >= 2 and p[1] <> p[2] and a = b and length(b) >= 2 then b else '' end rhyme from r""",
+    "mutate_first": f"""with b as (select syllable, {_BARE_SQL.format(c='lower(syllable)')} bare, {_TONE_SQL} tone from {_SYLLABLE_VALUES}),
+n as (select *, case regexp_extract(bare, '^.+?(ch|c|p|t)$', 1) {' '.join(f"when '{stop}' then regexp_replace(bare, '{stop}$', '{nose}')" for stop, nose in T.NASALS.items())} else bare end nasal,
+case tone {' '.join(f"when '{old}' then '{new}'" for old, new in T.MUTED_TONE.items())} else tone end wanted from b),
+v as (select *, regexp_extract(nasal, '^(.*)([{T.PLAIN_VOWELS}])([^{T.PLAIN_VOWELS}]*)$', 1) h, regexp_extract(nasal, '^(.*)([{T.PLAIN_VOWELS}])([^{T.PLAIN_VOWELS}]*)$', 2) w, regexp_extract(nasal, '^(.*)([{T.PLAIN_VOWELS}])([^{T.PLAIN_VOWELS}]*)$', 3) t from n)
+select syllable, case when w = '' then nasal else h || case wanted {' '.join(f"when '{tone}' then translate(w, '{T.PLAIN_VOWELS}', '{letters}')" for tone, letters in T.TONED.items())} else w end || t end as first from v""",
     "cloze_direction": """select shade, case when lower(coalesce(shade,'')) like '%giảm%' then 'giam' when lower(coalesce(shade,'')) like '%tăng%' then 'tang' else 'trung_tinh' end direction
 from (values ('Giảm nhẹ mức độ'), ('Tăng cường mức độ'), ('Vừa tăng vừa giảm'), ('Bình thường'), (null)) v(shade)""",
     "md5_ids": "select p_partkey, 'clip_' || left(md5(concat_ws('/', p_brand, p_name)), 20) id from part",
