@@ -144,7 +144,7 @@ def count_questions(spark, sf_dir):
 
 def _cues(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts = F.unix_seconds(F.col("ts").cast("timestamp"))
-    return table(spark, sf_dir, "events").select("user_id", "event_id", ts.cast("double").alias("start"), (ts + F.floor("value")).cast("double").alias("end"))
+    return table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", ts.cast("double").alias("start"), (ts + F.floor("value")).cast("double").alias("end"))
 
 
 GAP, SPAN = 20_000.0, 200_000.0
@@ -207,7 +207,7 @@ def segment_ids(spark, sf_dir):
 def cue_overlap_join(spark, sf_dir):
     """Purchases that overlap a view of the same user, found over shared time buckets instead of all pairs."""
     width = 3600.0
-    kind = lambda k: _cues(spark, sf_dir).join(table(spark, sf_dir, "events").where(F.col("event_type") == k).select("event_id"), "event_id")
+    kind = lambda k: _cues(spark, sf_dir).where(F.col("event_type") == k)
     spread = lambda df: df.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("start") / width), F.floor(F.col("end") / width))))
     a, b = spread(kind("view")).alias("a"), spread(kind("purchase")).alias("b")
     joined = a.join(b, (F.col("a.user_id") == F.col("b.user_id")) & (F.col("a.bucket") == F.col("b.bucket")))

@@ -92,8 +92,7 @@ def lid_chunks(spark, sf_dir):
 def cue_padded_join(spark, sf_dir):
     """Signups within 45 s of an error of the same user, over shared time buckets."""
     pad, width = 45.0, 3600.0
-    kinds = table(spark, sf_dir, "events").select("event_id", "event_type")
-    cues = _cues(spark, sf_dir).join(kinds, "event_id")
+    cues = _cues(spark, sf_dir)
     spread = lambda df, by: df.withColumn("bucket", F.explode(F.sequence(F.floor((F.col("start") - by) / width), F.floor((F.col("end") + by) / width))))
     a, b = spread(cues.where("event_type = 'error'"), pad).alias("a"), spread(cues.where("event_type = 'signup'"), 0.0).alias("b")
     joined = a.join(b, (F.col("a.user_id") == F.col("b.user_id")) & (F.col("a.bucket") == F.col("b.bucket")))
