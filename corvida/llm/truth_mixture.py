@@ -172,12 +172,14 @@ def _local_step(items: DataFrame, names: list[str], parameters: Parameters, prio
     cells = [f"c{i}" for i in range(k * k)]
     found = items.mapInArrow(sums, "who long, ll double, " + ", ".join(f"{c} double" for c in cells))
     counts, classes, likelihood = np.zeros((n, k * k)), np.zeros(k), 0.0
-    for row in found.groupBy("who").agg(F.sum("ll").alias("ll"), *(F.sum(c).alias(c) for c in cells)).collect():  # MAX_LOCAL rows at most
+    if (n + 1) * items.rdd.getNumPartitions() > MAX_LOCAL:
+        found = found.groupBy("who").agg(F.sum("ll").alias("ll"), *(F.sum(c).alias(c) for c in cells))
+    for row in found.collect():  # about MAX_LOCAL rows at most
         values = np.array([row[c] for c in cells])
         if row["who"] < 0:
-            classes, likelihood = values[:k], row["ll"]
+            classes, likelihood = classes + values[:k], likelihood + row["ll"]
         else:
-            counts[row["who"]] = values
+            counts[row["who"]] += values
     return counts.reshape(n, k, k), classes, likelihood
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from itertools import accumulate
 import unicodedata
 
 import numpy as np
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvida.llm import cgk_lsh, langid, mojibake, p1_cut_texts, p3_consensus, p5_lookalikes, p6_leaks, p7_mixing, p8_garbled, truth_mixture
+from corvida.llm import cgk_lsh, draft_errors, langid, mojibake, p1_cut_texts, p3_consensus, p5_lookalikes, p6_leaks, p7_mixing, p8_garbled, truth_mixture
 from corvida.llm.lookalike_transducer import LATIN_STANDINS, LOOKALIKES, canonical, compile_mapping
 from corvida.llm.pair_defects import copies, fit_rendering, is_empty, is_refusal, is_truncated, left_open, tiles
 from corvida.llm.prefix_cut import cut_gap
@@ -157,6 +158,41 @@ def test_counting_votes(spark):
     assert truth_mixture.consensus(empty, truth_mixture.without_copies(empty, fitted), fitted, p3_consensus.LABELS).count() == 0
 
 
+def test_errors_of_drafts_come_from_their_distances():
+    rng = random.Random(2)
+    for _ in range(200):
+        a, b = (rng.choices("abcd", k=rng.randrange(9)) for _ in range(2))
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row = list(accumulate(zip(row, row[1:], b), lambda left, c: min(left + 1, c[1] + 1, c[0] + (c[2] != x)), initial=i))
+        assert draft_errors.distance(a, b) == row[-1]
+    said = "mot hai ba bon nam sau bay tam"
+    assert draft_errors.errors([said.upper() + ".", said.replace("hai", "x"), None, said.replace("bon", "y").replace("nam", "z")]) == [0, 1, None, 2]
+    assert draft_errors.errors([said, None, said, None]) == [None] * 4
+
+
+def test_drafts_are_heard_where_annotators_disagree(spark, tmp_path):
+    rng, names = random.Random(11), p3_consensus.LABELS
+    vocabulary, truth, votes = [f"tu{chr(97 + i)}{chr(97 + j)}" for i in range(20) for j in range(20)], {}, []
+    samples = []
+    for n in range(300):
+        said, label = rng.choices(vocabulary, k=14), rng.randrange(5)
+        drafts = []
+        for i in range(4):
+            wrong = rng.sample(range(14), rng.randint(0, 1) if i == label else rng.randint(5, 7))
+            drafts.append(" ".join(rng.choice(vocabulary) if k in wrong else w for k, w in enumerate(said)))
+        truth[f"s{n}"] = names[label]
+        samples += [(f"s{n}", *drafts, None)] * rng.randint(1, 2)
+        votes += [(10 * n + k, f"s{n}", f"a{k}", names[label] if rng.random() < 0.5 else rng.choice(names), None) for k in range(4)]
+    columns = ", ".join(f"{c} string" for c in p3_consensus.DRAFTS)
+    spark.createDataFrame(samples, f"id string, {columns}, updated_at timestamp").write.parquet(f"{tmp_path}/samples.parquet")
+    spark.createDataFrame(votes, "vote_id long, sample_id string, annotator_id string, label string, voted_at timestamp").write.parquet(f"{tmp_path}/draft_votes.parquet")
+    found = p3_consensus.p3_consensus(spark, str(tmp_path)).collect()
+    assert len(found) == 300 and {r["votes"] for r in found} == {4}
+    assert sum(truth[r["sample_id"]] == r["label"] for r in found) > 280
+    assert {r["annotator"] for r in p3_consensus.p3_annotators(spark, str(tmp_path)).collect()} == {f"a{k}" for k in range(4)}
+
+
 # 4
 def test_languages_of_held_out_sentences(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang", "text")
