@@ -3,6 +3,11 @@
 A null prompt or response, or a missing key, is no pair; an empty one is a pair and its response empty. Repeated rows
 of a record give one row. Of a unit that was written again with other content each response counts. Without pairs to
 learn from, no response is long enough to be called cut unless it leaves something open. Extra columns are ignored.
+
+Renderings are learned from all pairs of a direction, in groups of about GROUP by the hash of their key, so the same ones
+whatever the partitions: each is fitted by one task, letters are the mean of the groups by the weight of the pairs that
+have the feature, and endings are counts over all. Only responses of under eight characters are not learned from, as
+most of them stand for nothing.
 """
 
 from __future__ import annotations
@@ -14,11 +19,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvida.llm.langid import Identifier, fit_profiles
-from corvida.llm.pair_defects import defect, fit_rendering
+from corvida.llm.pair_defects import LEAST_SEEN, Rendering, defect, fit_part, rendering
 from corvida.session import table
 
-#: Pairs of each direction from which renderings are learned, about.
-LEARNED_PAIRS = 12_000
+#: Pairs that are fitted together, about.
+GROUP = 12_000
 
 
 def pairs(samples: DataFrame, units: DataFrame, results: DataFrame) -> DataFrame:
@@ -37,18 +42,32 @@ def pairs(samples: DataFrame, units: DataFrame, results: DataFrame) -> DataFrame
     return speech.unionByName(texts).where("prompt is not null and response is not null").distinct()
 
 
-def _learned(of: DataFrame, n: int) -> list[tuple[str, str]]:
-    """About LEARNED_PAIRS pairs by the hash of their key, so the same ones whatever the partitions."""
-    share = min(1.0, LEARNED_PAIRS / max(1, n))
-    chosen = of.where(F.pmod(F.xxhash64("record_key", "field_name"), F.lit(1_000_000)) < int(share * 1_000_000))
-    rows = chosen.where(F.length("response") >= 8).select("record_key", "field_name", "prompt", "response").collect()
-    return [(r["prompt"], r["response"]) for r in sorted(rows)]
+def _parts(batch: pd.DataFrame) -> pd.DataFrame:
+    """The part of one group: a row for each prompt feature and each ending."""
+    rows = batch.sort_values(["record_key", "field_name", "prompt", "response"])
+    part = fit_part(list(zip(rows["prompt"], rows["response"])))
+    keys = [(kind, key) for kind, found in (("letters", part.letters), ("ends", part.ends)) for key in found]
+    first, second = ([key if isinstance(key, str) else key[0] for _, key in keys], [None if isinstance(key, str) else key[1] for _, key in keys])
+    sums = pd.DataFrame([*part.letters.values(), *part.ends.values()], columns=["x", "y"], dtype=float)
+    return sums.assign(expected=batch["expected"].iloc[0], kind=[kind for kind, _ in keys], first=first, second=pd.Series(second, dtype=object))
+
+
+def learned(all_pairs: DataFrame, group: int = GROUP) -> dict[str, Rendering]:
+    """The rendering of each expected language. As many rows reach the driver as there are features."""
+    sizes = {r["expected"]: r["count"] for r in all_pairs.groupBy("expected").count().collect()}
+    groups = F.coalesce(*(F.when(F.col("expected") == e, F.lit(-(-n // group))) for e, n in sizes.items()), F.lit(1))
+    rows = all_pairs.where(F.length("response") >= 8).withColumn("group", F.pmod(F.xxhash64("record_key", "field_name"), groups))
+    parts = rows.groupBy("expected", "group").applyInPandas(_parts, "expected string, kind string, first string, second string, x double, y double")
+    sums = parts.groupBy("expected", "kind", "first", "second").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).where((F.col("kind") == "letters") | (F.col("x") >= LEAST_SEEN))
+    found: dict[str, dict[str, dict]] = {e: {"letters": {}, "ends": {}} for e in sizes}
+    for expected, kind, first, second, x, y in zip(*sums.toArrow().to_pydict().values()):
+        found[expected][kind][first if second is None else (first, second)] = (x, y)
+    return {e: rendering(**sums) for e, sums in found.items()}
 
 
 def with_defects(all_pairs: DataFrame, profiles: dict[str, dict[str, int]]) -> DataFrame:
     """The pairs with `defect`, null for usable responses."""
-    sizes = {r["expected"]: r["count"] for r in all_pairs.groupBy("expected").count().collect()}
-    renderings = {e: fit_rendering(_learned(all_pairs.where(F.col("expected") == e), n)) for e, n in sizes.items()}
+    renderings = learned(all_pairs)
 
     @F.pandas_udf("string")
     def find(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:

@@ -3,8 +3,8 @@
 A pushdown parser finds what a response leaves open (fences, brackets, quotations, markup); greedy string tiling
 measures how much of it repeats the prompt; a grammar recognises sentences that decline; language profiles and scripts
 tell its language. Whether the prompt's content is rendered to the end is told by how long a rendering should be: each
-prompt word and pair of words adds its own letters, with weights fitted on a bounded sample of pairs, and by whether a
-sentence can end in the response's last word.
+prompt word and pair of words adds its own letters, with weights fitted on the pairs, and by whether a sentence can end
+in the response's last word.
 """
 
 from __future__ import annotations
@@ -164,6 +164,10 @@ def features(words: list[str]) -> list:
     return [*words, *zip(words, [*words[1:], "$"])]
 
 
+#: Words and pairs of words that are met less often tell nothing of where sentences end.
+LEAST_SEEN = 3
+
+
 @dataclass
 class Rendering:
     """How a complete response looks: letters by prompt features, and words in which a sentence ends."""
@@ -183,7 +187,27 @@ class Rendering:
         return sum(w in self.weights for w in prompt) / max(1, len(prompt))
 
 
-def fit_rendering(pairs: list[tuple[str, str]], rounds: int = 3, steps: int = 40, ridge: float = 1.0) -> Rendering:
+@dataclass
+class Part:
+    """What one group of pairs says: by prompt feature its letters times the weight of its pairs, and that weight; by word
+    and two words of responses how often they occur, and how often a whole response ends in them. Parts add up."""
+
+    letters: dict
+    ends: dict
+
+
+def fit_rendering(pairs: list[tuple[str, str]]) -> Rendering:
+    part = fit_part(pairs)
+    return rendering(part.letters, part.ends)
+
+
+def rendering(letters: dict, ends: dict) -> Rendering:
+    """The rendering that parts, added up, stand for: the mean of their letters by weight, and the shares of endings."""
+    means = {f: total / weight for f, (total, weight) in letters.items()}
+    return Rendering({f: x for f, x in means.items() if abs(x) > 1e-3 or isinstance(f, str)}, {w: ended / n for w, (n, ended) in ends.items() if n >= LEAST_SEEN})
+
+
+def fit_part(pairs: list[tuple[str, str]], rounds: int = 3, steps: int = 40, ridge: float = 1.0) -> Part:
     """Least squares of the response's letters on the prompt's words and word pairs (conjugate gradients).
 
     Pairs far from the fit are given little weight in the next round, so that defective ones do not bend it.
@@ -223,8 +247,8 @@ def fit_rendering(pairs: list[tuple[str, str]], rounds: int = 3, steps: int = 40
     # speech that breaks off is rendered so: whole by its length, though without a full stop
     whole = [w for w, near in zip(last, (ratio > 0.985) & (ratio < 1.05)) if w and near]
     ended = Counter(whole) + Counter(w[-1] for w in whole)
-    finals = {w: ended[w] / n for w, n in seen.items() if n >= 3}
-    return Rendering({f: float(x[i]) for f, i in index.items() if abs(x[i]) > 1e-3 or isinstance(f, str)}, finals)
+    of = np.bincount(c, weight[r], m)
+    return Part({f: (float(x[i] * of[i]), float(of[i])) for f, i in index.items()}, {w: (n, ended[w]) for w, n in seen.items()})
 
 
 #: Shares of the expected letters below which a response is cut: one that ends like a sentence; and one that does not,

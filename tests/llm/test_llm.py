@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvida.llm import cgk_lsh, draft_errors, langid, mojibake, p1_cut_texts, p3_consensus, p5_lookalikes, p6_leaks, p7_mixing, p8_garbled, truth_mixture
+from corvida.llm import cgk_lsh, draft_errors, langid, mojibake, p1_cut_texts, p2_pairs, p3_consensus, p5_lookalikes, p6_leaks, p7_mixing, p8_garbled, truth_mixture
 from corvida.llm.lookalike_transducer import LATIN_STANDINS, LOOKALIKES, canonical, compile_mapping
 from corvida.llm.pair_defects import copies, fit_rendering, is_empty, is_refusal, is_truncated, left_open, tiles
 from corvida.llm.prefix_cut import cut_gap
@@ -76,6 +76,18 @@ def test_rendering_tells_a_cut_translation():
     assert fit_rendering([]).letters(["x"]) == 0
 
 
+def test_renderings_are_learned_from_all_pairs(spark):
+    rows = [("samples", f"r{n}", "mt_en", "en", f"tu{n} la gi", "what is this thing", None) for n in range(25_000)]
+    pairs = spark.createDataFrame(rows, "table_name string, record_key string, field_name string, expected string, prompt string, response string, question_response string")
+    fitted = p2_pairs.learned(pairs)["en"]
+    assert {f"tu{n}" for n in range(25_000)} <= set(fitted.weights) and fitted.finals["this", "thing"] > 0.99
+    assert fitted.letters(["tu24999", "la", "gi"]) == pytest.approx(15, abs=0.5)
+    few = pairs.limit(60).cache()
+    one, other = (p2_pairs.learned(few.repartition(n), 20)["en"] for n in (1, 3))
+    assert one.finals == other.finals and one.weights == pytest.approx(other.weights)
+    assert p2_pairs.learned(pairs.limit(0)) == {}
+
+
 # 3
 def _items(spark, rows, barred=()):
     votes = spark.createDataFrame(rows, "item string, annotator string, label int")
